@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import Scratch, table
 
 
 def op1_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,33 @@ def op1_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rules of the query over pages.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+
+def op3_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL by the rules; a URL that no rule fits is in no list and so allowed."""
+    from .url_filter import judge
+
+    rules = spark.createDataFrame(URL_RULES, "key string, verdict string")
+    return judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP3_SQL = """
+WITH u AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(k, v) AS (VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), ('net/es/', 'block'), ('net/fr/', 'block')),
+fits AS (
+  SELECT page_id, max_by(k, length(k)) AS rule, max_by(v, length(k)) AS verdict
+  FROM u JOIN rules ON ('.' || host) LIKE '%.' || split_part(k, '/', 1) AND starts_with(path, substr(k, strpos(k, '/')))
+  GROUP BY page_id)
+SELECT u.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN fits ON u.page_id = fits.page_id
+"""
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -39,5 +66,14 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
-QUERIES = {f.__name__: f for f in (op1_balanced_shards, op5_vector_packing)}
-ORACLE_SQL: dict[str, str] = {}
+def op6_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record for each page, read back through the merged capture index."""
+    from .capture_index import captures
+
+    return captures(table(spark, sf_dir, "pages"), Scratch(spark, "warc").path("archives")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "part", "place"
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op5_vector_packing, op6_capture_index)}
+ORACLE_SQL: dict[str, str] = {"op3_url_cascade": OP3_SQL}
