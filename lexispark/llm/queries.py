@@ -75,5 +75,41 @@ def op6_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op5_vector_packing, op6_capture_index)}
-ORACLE_SQL: dict[str, str] = {"op3_url_cascade": OP3_SQL}
+def op10_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents inside windows of ten words of benchmark items."""
+    from .fm_index import contamination
+
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+OP10_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+phrases AS (
+  SELECT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) AS p
+  FROM b WHERE len(w) > 0),
+grams AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS p
+  FROM d, (SELECT DISTINCT n FROM phrases) WHERE len(w) >= n),
+hits AS (SELECT DISTINCT doc_id, i, grams.n, item_id FROM grams JOIN phrases ON grams.p = phrases.p AND grams.n = phrases.n),
+hit_words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items t ON d.doc_id = t.doc_id
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op5_vector_packing, op6_capture_index, op10_fm_decontamination)}
+ORACLE_SQL: dict[str, str] = {"op3_url_cascade": OP3_SQL, "op10_fm_decontamination": OP10_SQL}
