@@ -82,11 +82,11 @@ class Wavelet:
 class FMIndex:
     def __init__(self, t: np.ndarray, top: int) -> None:
         """t: symbols from 0 to top; 0 separates passages and occurs in no phrase."""
-        t = np.append(t, 0)  # the end is the smallest suffix
+        t = np.append(t + 1, 0)  # the end is a symbol of its own and the smallest suffix
         sa = suffix_array(t)
         self.n, self.bwt = len(t), t[sa - 1]
-        self.ranks = Wavelet(self.bwt, top)
-        self.before = np.r_[0, np.cumsum(np.bincount(t, minlength=top + 1))]
+        self.ranks = Wavelet(self.bwt, top + 1)
+        self.before = np.r_[0, np.cumsum(np.bincount(t, minlength=top + 2))]
         kept = sa % SAMPLE == 0
         self.rows, self.at = np.flatnonzero(kept), sa[kept]
 
@@ -99,7 +99,7 @@ class FMIndex:
             at = live[lengths[live] > j]
             if not len(at):
                 break
-            c = phrases[at, phrases.shape[1] - 1 - j]
+            c = phrases[at, phrases.shape[1] - 1 - j] + 1
             s[at] = self.before[c] + self.ranks.rank(c, s[at])
             e[at] = self.before[c] + self.ranks.rank(c, e[at])
         return s, np.maximum(s, e)
