@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, table
@@ -75,6 +75,19 @@ def op6_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+
+
+def op8_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a field that learns from the labels of those that are not held out."""
+    from .crf import fit, scored, training_rows
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(training_rows(docs, table(spark, sf_dir, "labels")).where(~held_out()))
+    return scored(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents inside windows of ten words of benchmark items."""
     from .fm_index import contamination
@@ -111,5 +124,5 @@ FROM d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items t ON d.d
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op5_vector_packing, op6_capture_index, op10_fm_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op5_vector_packing, op6_capture_index, op8_crf_toxicity, op10_fm_decontamination)}
 ORACLE_SQL: dict[str, str] = {"op3_url_cascade": OP3_SQL, "op10_fm_decontamination": OP10_SQL}
