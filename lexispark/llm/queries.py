@@ -47,6 +47,13 @@ SELECT u.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u
 """
 
 
+def op4_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all documents: two-word shingles, similarity 0.8 or more."""
+    from .coordinate_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=2, percent=80)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -124,5 +131,5 @@ FROM d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items t ON d.d
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op5_vector_packing, op6_capture_index, op8_crf_toxicity, op10_fm_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op4_coordinate_join, op5_vector_packing, op6_capture_index, op8_crf_toxicity, op10_fm_decontamination)}
 ORACLE_SQL: dict[str, str] = {"op3_url_cascade": OP3_SQL, "op10_fm_decontamination": OP10_SQL}
