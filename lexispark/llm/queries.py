@@ -82,6 +82,16 @@ def op6_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: entities of fixed form, and identifiers discovered by their contexts."""
+    from .pii_bootstrap import KINDS, personal_data, span_list
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+    count = lambda i: F.size(F.filter("base", lambda x: x["kind_no"] == i)).cast("long")
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(span_list(F.col("base")), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
+
+
 def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
 
@@ -154,5 +164,5 @@ FROM d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items t ON d.d
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op4_coordinate_join, op5_vector_packing, op6_capture_index, op8_crf_toxicity, op9_projections, op10_fm_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op4_coordinate_join, op5_vector_packing, op6_capture_index, op7_bootstrapped_pii, op8_crf_toxicity, op9_projections, op10_fm_decontamination)}
 ORACLE_SQL: dict[str, str] = {"op3_url_cascade": OP3_SQL, "op9_projections": OP9_SQL, "op10_fm_decontamination": OP10_SQL}
