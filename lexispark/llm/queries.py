@@ -20,6 +20,15 @@ def op1_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents inside strings of 400 bytes that occur twice."""
+    from .run_index import repeated_bytes
+
+    found = repeated_bytes(table(spark, sf_dir, "documents"), 400)
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 #: Rules of the query over pages.
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 
@@ -164,5 +173,5 @@ FROM d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items t ON d.d
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_balanced_shards, op3_url_cascade, op4_coordinate_join, op5_vector_packing, op6_capture_index, op7_bootstrapped_pii, op8_crf_toxicity, op9_projections, op10_fm_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_balanced_shards, op2_run_index, op3_url_cascade, op4_coordinate_join, op5_vector_packing, op6_capture_index, op7_bootstrapped_pii, op8_crf_toxicity, op9_projections, op10_fm_decontamination)}
 ORACLE_SQL: dict[str, str] = {"op3_url_cascade": OP3_SQL, "op9_projections": OP9_SQL, "op10_fm_decontamination": OP10_SQL}
