@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Up to so many row numbers are broadcast to pick rows before their texts move; more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or where unset (tests) one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)

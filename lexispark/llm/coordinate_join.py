@@ -24,10 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, lower_ascii
+from .common import BROADCAST_ROWS, Scratch, lower_ascii
 from .components import components
 
-K = 32
+K = 64
 #: A pair at the threshold misses the match count with at most this probability.
 MISS = 1e-6
 #: Shingles of the members, and of those compared with them, that a block holds (more only for a longer document).
@@ -73,7 +73,7 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 
 
 def multipliers(k: int) -> np.ndarray:
-    return np.random.default_rng(20).integers(1, 2**63, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return np.random.default_rng(20).integers(0, 2**31, k, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def signatures(docs: DataFrame, size: int, k: int) -> DataFrame:
@@ -87,10 +87,10 @@ def signatures(docs: DataFrame, size: int, k: int) -> DataFrame:
                 s = shingles(text, size)
                 n.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
-                sig = np.full(k, np.uint64(0xFFFFFFFF))
+                sig = np.full(k, np.uint32(0xFFFFFFFF))
                 for lo in range(0, len(s), 4096):
-                    np.minimum(sig, ((s[lo : lo + 4096, None] * factors) >> np.uint64(32)).min(0), out=sig)
-                sigs.append(sig.astype(np.uint32).view(np.int32))
+                    np.minimum(sig, (s[lo : lo + 4096, None].astype(np.uint32) * factors).min(0), out=sig)
+                sigs.append(sig.view(np.int32))
             two = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
             flat = pa.array(np.concatenate([*sigs, np.zeros(0, np.int32)]), pa.int32())
             sig = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * k), flat)
@@ -187,12 +187,13 @@ def blocks(rows: DataFrame, match: int, classes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int = K, miss: float = MISS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of docs (doc_id, text).
+    """(row, doc_id, n_shingles, component_id, kept, keeper) for every row of docs (doc_id, text); row is its place.
 
     Two documents are linked if 100 * intersection >= percent * union of their sets of word n-grams of this size
     (a document with fewer words has its whole sequence as the one shingle). Words lie between ASCII white space, A-Z
     count as a-z. component_id is the smallest doc_id reachable and kept says whether it is the row's own. Documents
-    without words, or with null text, are linked with nothing. Repeated rows are linked with each other, and kept alike.
+    without words, or with null text, are linked with nothing. Repeated rows are linked with each other and kept alike;
+    keeper is true for one row of each component only.
     """
     scratch = Scratch(docs.sparkSession, "coordinates")
     match = match_count(percent / 100, k, miss)
@@ -220,15 +221,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
         "groups",
     )
     scratch.drop(prefix)
-    # Texts of classes by any document that has the class's number and set.
-    cand = groups.select("cls").distinct().join(classes.select("cls", "doc_id", "k1", "k2"), "cls")
-    texts = scratch.keep(class_texts(docs, cand, size), "texts")
-
     stars = groups.where("leader != cls").withColumns({"comp": F.col("cls"), "query": F.lit(False)})
     heads = stars.select("leader").distinct().withColumn("cls", F.col("leader")).join(classes.select("cls", "n"), "cls")
     heads = heads.withColumns({"comp": F.col("cls"), "query": F.lit(True)})
     cols = ["leader", "cls", "comp", "n", "query"]
-    first = scratch.keep(confirm(blocks(stars.select(cols).unionByName(heads.select(cols)), match, classes), texts, size, percent), "first")
+
+    def confirmed(rows: DataFrame) -> DataFrame:
+        units = scratch.keep(blocks(rows, match, classes), "units")
+        cand = units.select("cls").distinct().join(classes.select("cls", "doc_id", "k1", "k2"), "cls")
+        return scratch.keep(confirm(units, class_texts(docs, cand, size), size, percent), "confirmed")
+
+    first = confirmed(stars.select(cols).unionByName(heads.select(cols)))
     comps = components(first, scratch)
 
     known = groups.join(comps.withColumnRenamed("id", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
@@ -237,20 +240,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     known = scratch.keep(known.join(heads, "leader"), "known")
     outside = known.where("comp != head").select("leader", "cls", "comp", "n", F.lit(True).alias("query"))
     some = known.join(outside.select("leader").distinct(), "leader").where("cls != leader").select("leader", "cls", "comp", "n", F.lit(False).alias("query"))
-    second = confirm(blocks(outside.unionByName(some), match, classes), texts, size, percent)
-    links = scratch.keep(first.unionByName(second), "links")
-    comps = components(links, scratch)
+    second = confirmed(outside.unionByName(some))
+    comps = components(first.unionByName(second), scratch)
 
     of = rows.where("n > 0").join(classes.select("k1", "k2", "cls"), ["k1", "k2"]).join(comps.withColumnRenamed("id", "cls"), "cls", "left")
-    of = of.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "cls").alias("comp"))
-    least = of.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    out = of.join(least, "comp").drop("comp").unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
-    scratch.drop(texts, known, groups)
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    of = of.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "cls").alias("comp"))
+    first_of = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    least = of.groupBy("comp").agg(F.min(first_of).alias("least")).select("comp", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("keeper"))
+    out = of.join(least, "comp").drop("comp").withColumn("keeper", F.col("row") == F.col("keeper"))
+    alone = rows.where("n = 0").select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("keeper"))
+    scratch.drop(known, groups)
+    return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """docs with one row of each group: the first row of the smallest doc_id. Rows without words all stay.
+
+    docs must give the same rows in the same order each time it is read, as files do.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), size, percent)
+    gone = Scratch(docs.sparkSession, "gone").keep(found.where("not keeper").select(F.col("row").alias("_row")), "gone")
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    return rows.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, "_row", "left_anti").drop("_row")
 
 
 def class_texts(docs: DataFrame, cand: DataFrame, size: int) -> DataFrame:
-    """(cls, text): one text for each class of cand (cls, doc_id, k1, k2)."""
+    """(cls, text): for each class of cand (cls, doc_id, k1, k2) the text of a document that has its number and set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -261,5 +276,8 @@ def class_texts(docs: DataFrame, cand: DataFrame, size: int) -> DataFrame:
             yield b.select(["cls", "text"]).filter(pa.array(same, pa.bool_()))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if cand.count() <= BROADCAST_ROWS:
+        ids = cand.select(F.col("doc_id").alias("id")).distinct()
+        rows = rows.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     found = rows.join(cand, rows["doc_id"].eqNullSafe(cand["doc_id"])).select("cls", "text", "k1", "k2").mapInArrow(run, "cls long, text string")
     return found.dropDuplicates(["cls"])

@@ -24,12 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import BROADCAST_ROWS, Scratch
 
 #: Bytes that are searched for anchors at a time (less than 2**20), and bytes of a bucket's contexts.
 BATCH, BUCKET = 700_000, 1_500_000
-#: Up to so many row numbers are broadcast to pick documents; more are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
 BASE = 0x9E3779B97F4A7C15
 U = np.uint64
 _powers: list[np.ndarray] = []
