@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import BROADCAST_ROWS, Scratch
 
 #: Kinds in the order in which they are listed.
 KINDS = ["email", "ip", "card", "phone"]
@@ -150,11 +150,14 @@ def span_list(spans: Column) -> Column:
 def redacted(docs: DataFrame) -> DataFrame:
     """docs with each personal span of text replaced by its kind in angle brackets; n_chars follows, if there is one.
 
-    Overlapping spans are replaced together, by the kind of the first. All other columns stay.
+    Overlapping spans are replaced together, by the kind of the first. All other columns stay. docs must give the same
+    rows in the same order each time it is read, as files do.
     """
-    scratch = Scratch(docs.sparkSession, "redact")
-    rows = scratch.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
-    found = personal_data(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "spans").where(F.size("spans") > 0)
+    found = personal_data(docs).select(F.col("row").alias("_row"), "spans").where(F.size("spans") > 0)
+    found = Scratch(docs.sparkSession, "redact").keep(found, "found")
+    if found.count() <= BROADCAST_ROWS // 10:
+        found = F.broadcast(found)
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
     kinds = F.array(*(F.lit(f"<{k}>") for k in KINDS))
     text = F.col("text")
     done = F.aggregate(

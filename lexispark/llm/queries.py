@@ -60,7 +60,8 @@ def op4_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates among all documents: two-word shingles, similarity 0.8 or more."""
     from .coordinate_join import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=2, percent=80)
+    found = near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def tokenizer_path() -> str:
