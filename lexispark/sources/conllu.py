@@ -40,7 +40,7 @@ def parse_block(block: Column) -> tuple[Column, Column]:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(file, pos, meta, tokens): a row for each sentence, pos in the order of its file. Gzip files may be read too."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(F.input_file_name().alias("file"), "value")
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     return parse(files.select("file", F.posexplode(F.split("value", r"\r?\n[ \t]*\r?\n")).alias("pos", "block")), "file")
 
 
@@ -83,7 +83,7 @@ def serialize(meta: Column, tokens: Column) -> Column:
 
 def write(sentences: DataFrame, path: str, sentences_per_file: int = 100_000) -> None:
     """Gzip files below path, one folder for each collection where there is such a column."""
-    out = sentences.withColumn("value", serialize(F.col("meta"), F.col("tokens")))
+    out = sentences.withColumn("value", F.regexp_replace(serialize(F.col("meta"), F.col("tokens")), "\n\n$", ""))
     cols = ["collection"] if "collection" in sentences.columns else []
-    writer = out.select("value", *cols).write.option("lineSep", "").option("compression", "gzip").option("maxRecordsPerFile", sentences_per_file)
+    writer = out.select("value", *cols).write.option("lineSep", "\n\n").option("compression", "gzip").option("maxRecordsPerFile", sentences_per_file)
     (writer.partitionBy(*cols) if cols else writer).mode("append").text(path)

@@ -11,8 +11,8 @@ FRAGMENT = r"</?[^>]+>"
 
 def read(spark: SparkSession, path: str, pattern: str = "*.tabs") -> DataFrame:
     """Sentences of all files below path whose name fits, see parse()."""
-    options = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    return parse(options.text(path).select(F.input_file_name().alias("file"), F.col("value").alias("text")))
+    options = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    return parse(options.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("text")))
 
 
 def header(lines: Column, name: str) -> Column:
