@@ -11,7 +11,7 @@ from lexispark.llm.queries import held_out, piece_digests, tokenizer_path
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under one half; the field learns from all labels that are not held out."""
-    model = crf.fit(crf.training_rows(docs, table(spark, sf_dir, "labels")).where(~held_out()))
+    model = crf.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
     return crf.scored(docs, model).where("score < 0.5").select(*docs.columns)
 
 

@@ -10,6 +10,7 @@ tokens whose marginal is at least one half are the offending spans.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from zlib import crc32
@@ -19,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 #: Labelled rows of either kind that the field is fitted to: the bound of the training sample.
-TOXIC_ROWS, CLEAN_ROWS = 2000, 3000
+TOXIC_ROWS, CLEAN_ROWS = 1500, 2000
 #: Hashed weights for each of: a token's own features, the word before it, the word after it.
 WEIGHTS = 1 << 18
 OWN = 8
@@ -220,25 +223,34 @@ class Model:
         return score, spans
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic) of the labelled documents; of labels repeated for a document the largest counts."""
-    rows = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").join(rows, "doc_id")
-
+def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
+    """The field for docs (doc_id, text) and labels (doc_id, toxic 0 or 1), fitted to at most so many rows of either kind.
 
-def fit(rows: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
-    """The field for (doc_id, text, toxic), fitted to at most so many rows of either kind, those with the smallest hash."""
-    counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    Of labels repeated for a document the largest counts. The sample are the labelled documents whose doc_id has the
+    smallest hashes: only numbers are joined and sorted, and the texts of the sample are picked by a broadcast of its
+    bounded number of doc_ids. One task fits; the model that comes back has a fixed size.
+    """
+    marked = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    ids = docs.select("doc_id").join(marked, "doc_id").distinct()
+    counts = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
     n1, n0 = counts.get(1, 0), counts.get(0, 0)
     if not n1 or not n0:
         return Model(float(n1 > 0))
-    sample = []
-    for kind, limit in ((1, toxic_rows), (0, clean_rows)):
-        picked = rows.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-        sample += [(r["text"] or "", kind) for r in picked.select("text").collect()]
-    y = np.array([k for _, k in sample])
-    weights = np.where(y == 1, n1 / max(1, (y == 1).sum()), n0 / max(1, (y == 0).sum())) / ((n0 + n1) / len(y))
-    return Model(n1 / (n0 + n1)).fit([t for t, _ in sample], y, weights)
+    picked = [ids.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit) for kind, limit in ((1, toxic_rows), (0, clean_rows))]
+    picked = Scratch(docs.sparkSession, "sample").keep(picked[0].unionByName(picked[1]))
+    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic").repartition(1).sortWithinPartitions("toxic", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, kinds = [], []
+        for b in batches:
+            texts += [t or "" for t in b.column(0).to_pylist()]
+            kinds += b.column(1).to_pylist()
+        y = np.array(kinds)
+        weights = np.where(y == 1, n1 / max(1, (y == 1).sum()), n0 / max(1, (y == 0).sum())) / ((n0 + n1) / len(y))
+        model = Model(n1 / (n0 + n1)).fit(texts, y, weights)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)])], names=["model"])
+
+    return pickle.loads(sample.mapInArrow(run, "model binary").first()["model"])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
