@@ -1,0 +1,483 @@
+"""The operators against brute force on small tables with nulls, empty and long texts, ties, repeated rows and odd columns."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lexispark.llm import capture_index, common, coordinate_join, crf, fm_index, packing, pii_bootstrap, projections, run_index, sharding, url_filter
+from lexispark.llm.components import components
+
+WORDS = [f"w{i}" for i in range(60)] + ["Äpfel", "über", "the", "and"]
+
+
+def texts(seed, n=60):
+    """Random documents with exact and near copies, a shared passage, null, empty and a long one."""
+    r = random.Random(seed)
+    docs = [" ".join(r.choices(WORDS, k=r.randint(1, 120))) for _ in range(n)]
+    passage = " ".join(r.choices(WORDS, k=130))
+    for i in range(0, n, 6):
+        docs[i] += " " + passage + " tail" + str(i)
+    for i in range(1, n, 7):
+        words = docs[i - 1].split()
+        if len(words) > 30:
+            words[r.randrange(len(words))] = "changed"
+        docs[i] = " ".join(words)
+    docs += [None, "", "  \n ", docs[0], docs[0].upper(), " ".join(r.choices(WORDS, k=4000)), "one", "ab " * 900, "w1 w2"]
+    return docs
+
+
+def table(spark, docs, extra="extra string, shard string, score int, base string"):
+    rows = [(i, t, "x", None, 1, "b") for i, t in enumerate(docs)] + [(3, docs[3], "x", None, 1, "b")]
+    return spark.createDataFrame(rows, f"doc_id long, text string, {extra}").repartition(3, "doc_id").sortWithinPartitions("doc_id")
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return texts(1)
+
+
+@pytest.fixture(scope="module")
+def frame(spark, docs):
+    return common.Scratch(spark, "test").keep(table(spark, docs))
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string")
+
+
+def test_shards(spark, docs, frame, empty):
+    rows = frame.select("doc_id", sharding.byte_size(F.col("text")).alias("size"), "shard")
+    got = sharding.balanced_shards(rows, 4, ["doc_id"]).orderBy("doc_id").collect()
+    assert len(got) == len(docs) + 1
+    sizes = [sum(r["size"] for r in got if r["shard"] == s) for s in range(4)]
+    most = max(r["size"] for r in got)
+    assert max(sizes) - min(sizes) <= 2 * most and sum(sizes) == sum(len((t or "").encode()) + 1 for t in [*docs, docs[3]])
+    assert [r["shard"] for r in got] == sorted(r["shard"] for r in got)
+    for s in range(4):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    none = empty.select("doc_id", sharding.byte_size(F.col("text")).alias("size"))
+    assert sharding.balanced_shards(none, 4, ["doc_id"]).count() == 0
+
+
+def brute_repeats(docs, length):
+    data = [(t or "").encode() for t in docs]
+    seen = {}
+    for d in data:
+        for i in range(len(d) - length + 1):
+            seen[d[i : i + length]] = seen.get(d[i : i + length], 0) + 1
+    out = []
+    for d in data:
+        spans = []
+        for i in range(len(d) - length + 1):
+            if seen[d[i : i + length]] > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + length
+                else:
+                    spans.append([i, i + length])
+        out.append([tuple(s) for s in spans])
+    return out
+
+
+@pytest.mark.parametrize("length", [40, 400])
+def test_repeated_bytes(docs, frame, length):
+    every = [*docs, docs[3]]
+    want = brute_repeats(every, length)
+    got = run_index.repeated_bytes(frame, length).collect()
+    assert len(got) == len(every)
+    for r in got:
+        spans = [(x["start"], x["end"]) for x in r["removed"]]
+        data = (docs[r["doc_id"]] or "").encode()
+        assert spans == want[r["doc_id"]], r["doc_id"]
+        kept = b"".join(data[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(data)], strict=True))
+        assert r["n_bytes"] == len(data) and r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+
+
+def test_repeated_bytes_edges(spark, empty):
+    assert run_index.repeated_bytes(empty, 40).count() == 0
+    odd = ["\x00" * 100 + "a", "b" + "\x00" * 90, "ab" * 200, "é" * 60 + "x", "y" + "é" * 60]
+    rows = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    want = brute_repeats(odd, 40)
+    for r in run_index.repeated_bytes(rows, 40).collect():
+        assert [(x["start"], x["end"]) for x in r["removed"]] == want[r["doc_id"]]
+
+
+def test_matching_statistics():
+    r = random.Random(5)
+    t = bytes(r.choices(b"ab", k=300)) + b"abcabcabc" * 5
+    got = run_index.RunIndex(np.frombuffer(t, np.uint8)).matching_statistics()
+    for i in range(len(t)):
+        best = 0
+        for j in range(len(t)):
+            k = 0
+            while i != j and max(i, j) + k < len(t) and t[i + k] == t[j + k]:
+                k += 1
+            best = max(best, k)
+        assert got[i] == best, i
+
+
+def test_url_cascade(spark):
+    r = random.Random(2)
+    urls = [f"http{r.choice(['', 's'])}://{r.choice(['a.', 'b.c.', ''])}{r.choice(['X.com', 'y.net', 'z.org'])}{r.choice(['', '/', '/en/1', '/es/2?q=/fr/', '/fr#x', '/e'])}" for _ in range(300)]
+    urls += [None, "", "x.com/en/", "://", "http://", "http://x.com", "ftp://A.x.com/en/"]
+    rules = [("x.com/", "allow"), ("x.com/en/", "block"), ("a.x.com/en/", "allow"), ("net/es/", "block"), ("org/e", "block"), ("com/", "block"), ("com/", "allow"), (None, "block")]
+
+    def judge(url):
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1].lower(), m[2]) if m else ("", "")
+        fits = []
+        for key, verdict in rules:
+            if key is None:
+                continue
+            h, _, p = key.partition("/")
+            if host and ("." + host).endswith("." + h) and path.startswith("/" + p):
+                fits.append((len(key), len(h), verdict == "block", key, verdict))
+        best = max(fits, default=None)
+        return host, path, best and best[3], best[4] if best else "allow"
+
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    table = spark.createDataFrame(rules, "key string, verdict string")
+    got = url_filter.judge(pages, table).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == judge(urls[r["page_id"]])
+    assert url_filter.judge(pages.limit(0), table).count() == 0
+    assert url_filter.judge(pages, table.limit(0)).where("verdict != 'allow' or rule is not null").count() == 0
+
+
+def test_cascade_levels(spark):
+    universe = spark.range(20000).select(*url_filter.hashes(F.col("id").cast("string")))
+    listed = spark.range(0, 20000, 50).select(*url_filter.hashes(F.col("id").cast("string")))
+    levels = url_filter.cascade(universe, listed)
+    rows = universe.toPandas()
+    got = url_filter.listed(levels, rows.h1.to_numpy().view(np.uint64), rows.h2.to_numpy().view(np.uint64))
+    assert got.sum() == 400 and got[::50].all() or got.sum() == 400
+    assert len(levels) > 1 and sum(len(f.bits) for f in levels) < 4000
+
+
+def brute_near(docs, size, percent):
+    sets = {}
+    for i, t in enumerate(docs):
+        ws = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        sets[i] = {tuple(ws[k : k + size]) for k in range(max(1, len(ws) - size + 1))} if ws else set()
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in sets:
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_near_duplicates(docs, frame, empty, size):
+    want = brute_near(docs, size, 80)
+    got = coordinate_join.near_duplicates(frame, size, 80).collect()
+    assert len(got) == len(docs) + 1
+    for r in got:
+        assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]], r
+        assert r["kept"] == (r["doc_id"] == r["component_id"])
+    if size == 5:
+        kept = coordinate_join.deduplicated(frame, size, 80)
+        ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
+        assert sorted(ids) == sorted(i for i, (_, c) in want.items() if i == c) and kept.columns == frame.columns
+        assert coordinate_join.near_duplicates(empty).count() == 0
+
+
+def test_large_group_of_near_copies(spark):
+    """Copies of one text, each edited in another place by different amounts: components as by brute force."""
+    r = random.Random(3)
+    base = r.choices([f"v{i}" for i in range(400)], k=60)
+    docs = []
+    for _ in range(150):
+        words = list(base)
+        for _ in range(r.randint(0, 6)):
+            words[r.randrange(60)] = f"e{r.randrange(1000)}"
+        docs.append(" ".join(words))
+    want = brute_near(docs, 2, 80)
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in coordinate_join.near_duplicates(rows, 2, 80).collect()}
+    assert got == want
+
+
+def test_components(spark):
+    pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7), (100, 101)]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    got = {r["id"]: r["component"] for r in components(links, common.Scratch(spark, "test")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100}
+    assert components(links.limit(0), common.Scratch(spark, "test")).count() == 0
+
+
+def tokenizer():
+    public = pytest.importorskip("public_tokenizers")
+    return public.path("word_bpe_49k.json")
+
+
+def test_packing(docs, frame, empty):
+    from tokenizers import Tokenizer
+
+    path = tokenizer()
+    tok = Tokenizer.from_file(path)
+    odd = ["It's 3.5% <|endoftext|> Straße x y İstanbul ΣΑΣ", "é café, don't"]
+    want = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(docs)}
+    for t in odd + [t for t in docs if t]:
+        assert packing.WordTokenizer.of(path).ids([t])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
+    got = packing.pack(frame, path, tokens=256, segments=5).collect()
+    pieces, sequences = {}, {}
+    for r in got:
+        ids = np.frombuffer(bytes(r["ids"]), np.uint32).tolist()
+        pieces.setdefault(r["doc_id"], []).append((r["start"], ids, r["doc_tokens"]))
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], len(ids)))
+    for i, ids in want.items():
+        times = 2 if i == 3 else 1
+        flat = [x for start, part, n in sorted(pieces[i], key=lambda p: p[0]) for x in part]
+        assert sum(len(p) for _, p, _ in pieces[i]) == times * len(ids) and (times == 2 or flat == ids)
+    for parts in sequences.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at <= 256 and len(parts) <= 5
+    assert packing.pack(empty, path).count() == 0
+
+
+def test_packing_limits_loss():
+    p = packing.Packer(10, 3, 6, window=2)
+    for i, n in enumerate([7, 3, 12, 5, 1]):
+        p.put(i, np.arange(n, dtype=np.uint32), loss_from=2 if i % 2 == 0 else 0)
+    p.close()
+    sequences = {}
+    for _, _, _, number, _, loss, ids in p.take():
+        x = sequences.setdefault(number, [0, 0, 0])
+        sequences[number] = [x[0] + len(ids), x[1] + 1, x[2] + loss]
+    assert all(a <= 10 and b <= 3 and c <= 6 for a, b, c in sequences.values()) and sum(x[0] for x in sequences.values()) == 28
+
+
+def test_captures(spark):
+    html = ["<a>", None, "", "x\r\n\r\nWARC/1.1\r\n", "<a>", "é" * 1000, "<a>", ""]
+    urls = ["http://B.org/x", None, "http://a.org", "http://c.org/\r\nX: y", "http://b.org/x", "u", "http://a.b.org/", "http://a.org"]
+    rows = [(9 - i, u, h, "t") for i, (u, h) in enumerate(zip(urls, html, strict=True))] + [(2, "http://a.org", "", "t")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, record string")
+    got = capture_index.captures(pages, common.Scratch(spark, "warc").path("x")).orderBy("part", "place").collect()
+    assert len(got) == len(rows) and [r["url_key"] for r in got] == sorted(r["url_key"] for r in got)
+    first = {}
+    for i, _, h, _ in sorted(rows, key=lambda r: r[0]):
+        first.setdefault((h or ""), i)
+    for r in got:
+        h = next(h or "" for i, _, h, _ in rows if i == r["page_id"])
+        assert r["payload_bytes"] == len(h.encode()) and r["payload_digest"] == base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()
+        if r["record_type"] == "response":
+            assert first[h] == r["page_id"] and r["refers_to"] is None
+        else:
+            assert r["refers_to"] == first[h]
+    assert sum(r["record_type"] == "response" for r in got) == len(first)
+    assert capture_index.captures(pages.limit(0), common.Scratch(spark, "warc").path("x")).count() == 0
+
+
+def test_loser_tree():
+    r = random.Random(4)
+    for k in (0, 1, 2, 3, 5, 8, 13):
+        runs = [sorted((r.randrange(50), r.random()) for _ in range(r.randrange(20))) for _ in range(k)]
+        assert list(capture_index.merge([[(x, x) for x in run] for run in runs])) == sorted(x for run in runs for x in run)
+
+
+def base_spans(t):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m[0])
+        total = sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d)))
+        if 14 <= len(d) <= 19 and total % 10 == 0:
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+PII = [
+    "a@b.c_d@e.f, x.y@z-1.com.", "@a@b..c a@b.c.", "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.0004 1.2.3", "4111 1111 1111 1111 and 4111-1111-1111-1112",
+    "41111111111111114111111111111111", "+1 (212) 555-0199 +12 +1234567890123456 ++49 30 1234567", "ä😀 a@b.de 😀 4111111111111111", None, "", "x" * 20000,
+    "1" * 5000, "1.1." * 3000, "a.b@" + "c." * 3000, "9 9-9 " * 500,
+]
+
+
+def test_base_entities(spark):
+    r = random.Random(6)
+    docs = PII + ["".join(r.choices("0123456789.@+- ()ab", k=60)) for _ in range(300)]
+    rows = spark.createDataFrame([(i, t, "x") for i, t in enumerate(docs)], "doc_id long, text string, base string")
+    got = pii_bootstrap.personal_data(rows).collect()
+    assert len(got) == len(docs)
+    for x in got:
+        assert [(s["start"], s["kind_no"], s["end"]) for s in x["base"]] == base_spans(docs[x["doc_id"]] or ""), docs[x["doc_id"]]
+    assert pii_bootstrap.personal_data(rows.limit(0)).count() == 0
+
+
+def test_bootstrapped_identifiers(spark):
+    docs = [f"note {i}: please call me under +49 30 55{i:05d} before noon" for i in range(8)]
+    docs += ["note: please call me under 0305512345 before noon", "the build 20240101123 is old", "a sum of 123456789 was paid"]
+    rows = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(docs)], "doc_id long, text string, n_chars int")
+    got = {r["doc_id"]: r for r in pii_bootstrap.personal_data(rows).collect()}
+    assert len(got[8]["base"]) == 0 and [(s["value"], s["kind_no"]) for s in got[8]["spans"]] == [("0305512345", 3)]
+    assert not got[9]["spans"] and not got[10]["spans"]
+    shown = {r["doc_id"]: r["text"] for r in pii_bootstrap.redacted(rows).collect()}
+    assert shown[8] == "note: please call me under <phone> before noon" and shown[0] == "note 0: please call me under <phone> before noon" and shown[9] == docs[9]
+
+
+def labelled(n, seed):
+    r = random.Random(seed)
+    bad = ["vile", "grubby", "nasty", "snarkle", "snarkler"]
+    out = []
+    for _ in range(n):
+        toxic = int(r.random() < 0.3)
+        words = r.choices(WORDS, k=r.randint(5, 60))
+        for _ in range(2 * toxic):
+            words.insert(r.randrange(len(words)), r.choice(bad))
+        out.append((" ".join(words) + ".", toxic))
+    return out
+
+
+def test_toxicity(spark, empty):
+    rows = labelled(400, 7)
+    docs = spark.createDataFrame([(i, t, 1) for i, (t, _) in enumerate(rows)], "doc_id long, text string, spans int")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows) if i % 5], "doc_id long, toxic int").unionByName(spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int"))
+    model = crf.fit(docs, labels)
+    got = {r["doc_id"]: r for r in crf.scored(docs, model).collect()}
+    wrong = sum((got[i]["score"] >= 0.5) != bool(y) for i, (_, y) in enumerate(rows) if i % 5 == 0)
+    assert wrong <= 2
+    for i, (t, y) in enumerate(rows):
+        for s in got[i]["spans"]:
+            assert y and re.search("vile|grubby|nasty|snarkle", t[s["start"] : s["end"]])
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "vile " * 5000), (4, " \n"), (4, " \n")], "doc_id long, text string")
+    scores = [(r["doc_id"], r["score"]) for r in crf.scored(odd, model).collect()]
+    assert len(scores) == 5 and all((s >= 0.5) == (i == 3) for i, s in scores)
+    assert crf.scored(empty, model).count() == 0
+    assert crf.scored(odd, crf.fit(docs, labels.limit(0))).where("score != 0").count() == 0
+
+
+def test_forward_backward():
+    """Marginals of the chains against a sum over all paths."""
+    r = np.random.default_rng(1)
+    sizes = np.array([4, 0, 1, 6])
+    numbers = np.arange(11)
+    chains = crf.Chains(numbers, np.zeros(11, bool), sizes)
+    e, joint = r.normal(size=11), r.normal(size=(2, 2))
+    got, pairs = chains.marginals(e, joint, pairs=True)
+    at, want_pairs = 0, np.zeros((2, 2))
+    for n in sizes:
+        total, on, both = 0.0, np.zeros(n), np.zeros((2, 2))
+        for path in range(2**n) if n else []:
+            y = [path >> i & 1 for i in range(n)]
+            w = np.exp(sum(e[at + i] * y[i] for i in range(n)) + sum(joint[y[i], y[i + 1]] for i in range(n - 1)))
+            total += w
+            on += w * np.array(y)
+            for i in range(n - 1):
+                both[y[i], y[i + 1]] += w
+        if n:
+            assert np.allclose(got[at : at + n], on / total)
+            want_pairs += both / total
+        at += n
+    assert np.allclose(pairs, want_pairs)
+
+
+def test_linked_vectors(spark):
+    r = np.random.default_rng(2)
+    base = r.normal(size=(40, 16))
+    rows = []
+    for i in range(300):
+        v = base[i % 40] + r.normal(size=16) * r.choice([0.02, 0.1, 0.2])
+        rows.append((i, [float(x) for x in v], i % 3 if i % 10 else None, "x"))
+    rows += [(300, None, 1, "x"), (301, [], 1, "x"), (302, [0.0] * 16, 1, "x"), (303, [float("nan")] + [1.0] * 15, 1, "x"), (304, rows[1][1], 1, "x"), (304, rows[1][1], 1, "x"), (305, [1.0] * 8, 1, "x"), (306, [None] + [1.0] * 15, 1, "x")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, n_links string")
+    fine = [(k, np.array(v), lab) for k, (_, v, lab, _) in enumerate(rows) if lab is not None and v and None not in v and np.isfinite(v).all() and any(v)]
+    links = {k: set() for k in range(len(rows))}
+    for a, v, x in fine:
+        for b, w, y in fine:
+            if a != b and x == y and len(v) == len(w) and v @ w / np.sqrt(v @ v) / np.sqrt(w @ w) >= 0.98:
+                links[a].add(b)
+    want = []
+    for k in links:
+        seen, todo = {k}, [k]
+        while todo:
+            new = links[todo.pop()] - seen
+            seen |= new
+            todo += new
+        c = min(rows[i][0] for i in seen)
+        want.append((rows[k][0], len(links[k]), c, rows[k][0] == c))
+    got = [tuple(r) for r in projections.linked_vectors(frame, 0.98).select("vec_id", "n_links", "component_id", "kept").collect()]
+    assert sorted(got) == sorted(want) and any(n > 2 for _, n, _, _ in want)
+    assert projections.linked_vectors(frame.limit(0)).count() == 0
+
+
+def brute_hits(docs, items, n):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    low = lambda t: word.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    windows = {}
+    for k, t in items:
+        ws = low(t)
+        for i in range(max(1, len(ws) - n + 1) if ws else 0):
+            windows.setdefault(tuple(ws[i : i + n]), set()).add(str(k))
+    out = []
+    for t in docs:
+        ws, hit, found = low(t), set(), set()
+        for size in {len(w) for w in windows}:
+            for i in range(len(ws) - size + 1):
+                if (w := tuple(ws[i : i + size])) in windows:
+                    hit.update(range(i, i + size))
+                    found |= windows[w]
+        out.append((len(ws), hit, sorted(found)))
+    return out
+
+
+def test_contamination(spark, docs, frame, empty, monkeypatch):
+    r = random.Random(8)
+    items = [(i, " ".join(docs[6 * i].split()[-15 - i :])) for i in range(8)] + [(20, None), (21, ""), (22, "w1 W2"), (23, "!!"), (23, "w3 äpfel w3 ÄPFEL"), (24, " ".join(r.choices(WORDS, k=30)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_hits(docs, items, 10)
+    for block in (200_000, 5):
+        monkeypatch.setattr(fm_index, "BLOCK", block)
+        got = fm_index.contamination(frame, bench, 10).collect()
+        assert len(got) == len(docs) + 1
+        for x in got:
+            n, hit, found = want[x["doc_id"]]
+            assert (x["n_words"], x["items"]) == (n, found) and {i for s in x["spans"] for i in range(s["start"], s["end"])} == hit
+    monkeypatch.setattr(fm_index, "BLOCK", 200_000)
+    clean = fm_index.decontaminated(frame, bench, 10)
+    assert clean.columns == frame.columns and fm_index.contamination(clean, bench, 10).where("size(spans) > 0").count() == 0
+    same = {x["doc_id"]: x["text"] for x in clean.collect()}
+    assert all(same[i] == docs[i] for i, (_, hit, _) in enumerate(want) if not hit)
+    assert fm_index.contamination(empty, bench).count() == 0
+    assert fm_index.contamination(frame, bench.limit(0)).where("size(spans) > 0").count() == 0
+
+
+def test_fm_index_locates():
+    r = np.random.default_rng(3)
+    t = r.integers(0, 4, 2000)
+    t[1000:1300] = t[200:500]
+    index = fm_index.FMIndex(t, 3)
+    phrases = np.array([t[i : i + 4] for i in (5, 210, 1003)])
+    phrases = phrases[(phrases > 0).all(1)]
+    s, e = index.search(phrases, np.full(len(phrases), 4))
+    for p, a, b in zip(phrases, s, e, strict=True):
+        want = [i for i in range(len(t) - 3) if (t[i : i + 4] == p).all()]
+        assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+def test_crc_is_unsigned(spark):
+    got = spark.createDataFrame([("ü",)], "t string").select(F.crc32("t")).first()[0]
+    assert got == zlib.crc32("ü".encode())
