@@ -20,6 +20,22 @@ def op1_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP2_SQL = """
+WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS m FROM (SELECT doc_id, h, unnest(range(0, n - 399)) AS i FROM d WHERE n >= 400)),
+r AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400, true) AS new FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+g AS (SELECT doc_id, i, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM r),
+s AS (SELECT doc_id, k, min(i) AS lo, max(i) + 400 AS hi FROM g GROUP BY doc_id, k),
+p AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM s),
+c AS (
+  SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last, string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS kept
+  FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN c.doc_id IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+"""
+
+
 def op2_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents inside strings of 400 bytes that occur twice."""
     from .run_index import repeated_bytes
@@ -64,6 +80,20 @@ def op4_coordinate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+OP4_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+half AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT comp.doc_id, coalesce(n, 0) AS n_shingles, component_id, comp.doc_id = component_id AS kept FROM comp LEFT JOIN n ON comp.doc_id = n.doc_id
+"""
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -87,9 +117,19 @@ def op6_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record for each page, read back through the merged capture index."""
     from .capture_index import captures
 
-    return captures(table(spark, sf_dir, "pages"), Scratch(spark, "warc").path("archives")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "part", "place"
-    )
+    index = captures(table(spark, sf_dir, "pages"), Scratch(spark, "warc").path("archives"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP6_SQL = """
+WITH d AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (
+  SELECT page_id, strlen(html) AS payload_bytes, min(page_id) OVER (PARTITION BY h) AS first_id,
+         array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((CAST('0x' || substr(h, i // 4 * 5 + 1, 5) AS INTEGER) >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31) + 1), 1)), '') AS payload_digest
+  FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f
+"""
 
 
 def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,4 +215,11 @@ FROM d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items t ON d.d
 
 
 QUERIES = {f.__name__: f for f in (op1_balanced_shards, op2_run_index, op3_url_cascade, op4_coordinate_join, op5_vector_packing, op6_capture_index, op7_bootstrapped_pii, op8_crf_toxicity, op9_projections, op10_fm_decontamination)}
-ORACLE_SQL: dict[str, str] = {"op3_url_cascade": OP3_SQL, "op9_projections": OP9_SQL, "op10_fm_decontamination": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_run_index": OP2_SQL,
+    "op3_url_cascade": OP3_SQL,
+    "op4_coordinate_join": OP4_SQL,
+    "op6_capture_index": OP6_SQL,
+    "op9_projections": OP9_SQL,
+    "op10_fm_decontamination": OP10_SQL,
+}
