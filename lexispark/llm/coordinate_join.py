@@ -217,11 +217,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     prefix = scratch.keep(prefix, "prefix")
     leaders = prefix.groupBy("key").agg(F.max(F.struct("popular", (-F.col("cls")).alias("c"))).alias("x"), F.count("*").alias("f")).where("f > 1")
     groups = scratch.keep(
-        prefix.join(leaders.select("key", (-F.col("x.c")).alias("leader")), "key").select("leader", "cls").distinct().join(classes.select("cls", "n"), "cls"),
+        prefix.join(leaders.select("key", (-F.col("x.c")).alias("leader"), "f"), "key").groupBy("leader", "cls").agg(F.max("f").alias("f"))
+        .join(classes.select("cls", "n"), "cls"),
         "groups",
     )
     scratch.drop(prefix)
-    stars = groups.where("leader != cls").withColumns({"comp": F.col("cls"), "query": F.lit(False)})
+    agree = F.aggregate(F.zip_with("sig", "leader_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    stars = groups.where("leader != cls").join(classes.select("cls", "sig"), "cls")
+    stars = stars.join(classes.select(F.col("cls").alias("leader"), F.col("sig").alias("leader_sig")), "leader").where(agree >= match)
+    stars = scratch.keep(stars.select("leader", "cls", F.col("cls").alias("comp"), "n", F.lit(False).alias("query")), "stars")
     heads = stars.select("leader").distinct().withColumn("cls", F.col("leader")).join(classes.select("cls", "n"), "cls")
     heads = heads.withColumns({"comp": F.col("cls"), "query": F.lit(True)})
     cols = ["leader", "cls", "comp", "n", "query"]
@@ -234,6 +238,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     first = confirmed(stars.select(cols).unionByName(heads.select(cols)))
     comps = components(first, scratch)
 
+    # A list of two has no pair but the one with its leader.
+    groups = groups.where("f > 2 or leader = cls")
     known = groups.join(comps.withColumnRenamed("id", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
     heads = groups.select("leader").distinct().join(comps.withColumnRenamed("id", "leader"), "leader", "left")
     heads = heads.select("leader", F.coalesce("component", "leader").alias("head"))
@@ -249,7 +255,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, k: int =
     least = of.groupBy("comp").agg(F.min(first_of).alias("least")).select("comp", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("keeper"))
     out = of.join(least, "comp").drop("comp").withColumn("keeper", F.col("row") == F.col("keeper"))
     alone = rows.where("n = 0").select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("keeper"))
-    scratch.drop(known, groups)
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
