@@ -153,7 +153,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     Overlapping spans are replaced together, by the kind of the first. All other columns stay. docs must give the same
     rows in the same order each time it is read, as files do.
     """
-    found = personal_data(docs).select(F.col("row").alias("_row"), "spans").where(F.size("spans") > 0)
+    found = personal_data(docs).where(F.size("spans") > 0).select(F.col("row").alias("_row"), F.col("spans").alias("_spans"))
     found = Scratch(docs.sparkSession, "redact").keep(found, "found")
     if found.count() <= BROADCAST_ROWS // 10:
         found = F.broadcast(found)
@@ -161,7 +161,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     kinds = F.array(*(F.lit(f"<{k}>") for k in KINDS))
     text = F.col("text")
     done = F.aggregate(
-        "spans",
+        "_spans",
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda acc, x: F.struct(
             F.when(x["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.substr(text, acc["at"] + 1, x["start"] - acc["at"]), F.element_at(kinds, x["kind_no"] + 1))).alias("out"),
@@ -169,6 +169,6 @@ def redacted(docs: DataFrame) -> DataFrame:
         ),
         lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))),
     )
-    out = rows.join(found, "_row", "left").withColumn("text", F.when(F.col("spans").isNull(), text).otherwise(done))
+    out = rows.join(found, "_row", "left").withColumn("text", F.when(F.col("_spans").isNull(), text).otherwise(done))
     out = out.select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
