@@ -1,13 +1,16 @@
 """Personal data by rules, and beyond them by bootstrapped contexts, in Catalyst alone.
 
 Four kinds of entities have a fixed form and are found by regular expressions. They are the seeds: the words around
-them are lexical patterns. Other tokens that look like identifiers (six digits or more) are candidates, with patterns
-from the same words. Patterns and values form a graph. In each round a pattern's confidence is the mean confidence of
-its distinct values, and a value's is the mean of its sufficiently supported patterns; seeds stay at one. Candidates
-that end above the threshold, by two patterns at least and one of them of two words, become entities of the kind that their best pattern has most.
+them are lexical patterns. A pattern of SUPPORT distinct seeds is a slot, and whatever else stands in a slot is a
+candidate, of any form: every token, and every whole run of two or more digit groups with white space between. A group
+of less than six digits next to another group is a part of its run and no candidate by itself. Patterns and values form
+a graph. In each round a pattern's confidence is the mean confidence of all its distinct values, and a value's is the
+mean of its supported patterns; seeds stay at one. Candidates that end above the threshold, by two patterns at least and
+one of them of two words, become entities of the kind that their best pattern has most.
 
-Only arrays of spans with their contexts leave the scan; texts are never shuffled, and the graph holds distinct
-pattern-value edges, so copies of a document add nothing to it.
+Texts are never shuffled: distinct pattern-value edges leave the scan, so copies of a document add nothing to the graph.
+Values that can never get a confidence (one pattern, or none of two words) count in their patterns' means and take no
+part in the rounds.
 """
 
 from __future__ import annotations
@@ -28,7 +31,13 @@ FORMS = {
 }
 #: A text without this has no entity of the kind.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-CANDIDATE = r"(?<!\S)(?=(?:[^\s0-9]*+[0-9]){6})\S++"
+#: A digit group, a run of them, and a text's units: runs and other tokens, each with the white space before it.
+GROUP = r"(?=[^\s0-9]*+[0-9])[0-9()+./-]++"
+RUN = r"(?=[0-9()+./-]++\s)" + GROUP + r"(?:\s++" + GROUP + r"(?=[,;:!?]*+(?!\S)))++[,;:!?]*+"
+TOKENS, UNITS = r"\s*+\S++", r"\s*+(?:" + RUN + r"|\S++)"
+#: Stands in kept texts before each word of a fixed entity. A token that has this noncharacter of its own is no candidate.
+MARK = "\ufdd0"
+BLANK = " \t\n\x0b\f\r"
 ROUNDS, SUPPORT, CONFIDENCE = 3, 3, 0.8
 SPAN = "array<struct<start: int, kind_no: int, end: int, value: string>>"
 
@@ -85,36 +94,122 @@ def entities(text: Column) -> Column:
     return F.array_sort(F.concat(*[of(i, kind) for i, kind in enumerate(KINDS)]))
 
 
-def patterns(text: Column, x: Column) -> Column:
-    """Lexical patterns of a span: the word before it, the two before it, the word after it."""
-    left = F.filter(F.split(F.lower(F.substr(text, F.greatest(x["start"] - 80, F.lit(0)) + 1, F.least(x["start"], F.lit(80)))), r"\s+"), lambda w: w != "")
-    right = F.filter(F.split(F.lower(F.substr(text, x["end"] + 1, F.lit(60))), r"\s+"), lambda w: w != "")
+def near(text: Column) -> Column:
+    """Words of a stretch beside a slot; one empty word if there is none."""
+    return F.split(F.btrim(F.lower(text), F.lit(BLANK)), r"\s+")
+
+
+def patterns(left: Column, right: Column) -> Column:
+    """Lexical patterns of a slot, from the words of near(): the word before it, the two before it, the word after it."""
     made = F.array(
-        F.when(F.size(left) > 0, F.concat(F.lit("L:"), F.element_at(left, -1))),
+        F.when(F.element_at(left, -1) != "", F.concat(F.lit("L:"), F.element_at(left, -1))),
         F.when(F.size(left) > 1, F.concat(F.lit("LL:"), F.array_join(F.slice(left, -2, 2), " "))),
-        F.when(F.size(right) > 0, F.concat(F.lit("R:"), F.element_at(right, 1))),
+        F.when(F.element_at(right, 1) != "", F.concat(F.lit("R:"), F.element_at(right, 1))),
     )
     return F.array_compact(made)
 
 
-def bootstrap(occurrences: DataFrame, scratch: Scratch) -> DataFrame:
-    """(value, kind_no) of discovered values. occurrences (value, kind_no or -1 for candidates, pattern), distinct."""
-    edges = scratch.keep(occurrences.distinct(), "edges")
-    seeds = edges.groupBy("value").agg(F.max("kind_no").alias("seed"))
-    kinds = edges.where("kind_no >= 0").groupBy("pattern", "kind_no").agg(F.count_distinct("value").alias("n"))
+def around(text: Column, x: Column) -> Column:
+    before = F.substr(text, F.greatest(x["start"] - 80, F.lit(0)) + 1, F.least(x["start"], F.lit(80)))
+    return patterns(near(before), near(F.substr(text, x["end"] + 1, F.lit(60))))
+
+
+def marked(text: Column, base: Column) -> Column:
+    """text with MARK before each word of the spans in base."""
+    done = F.aggregate(
+        base,
+        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
+        lambda acc, x: F.struct(
+            F.when(x["end"] <= acc["at"], acc["out"]).otherwise(
+                F.concat(
+                    acc["out"], F.substr(text, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))),
+                    F.regexp_replace(F.substr(text, F.greatest(x["start"], acc["at"]) + 1, x["end"] - F.greatest(x["start"], acc["at"])), r"(\S++)", MARK + "$1"),
+                )
+            ).alias("out"),
+            F.greatest(acc["at"], x["end"]).alias("at"),
+        ),
+        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))),
+    )
+    return F.when(F.size(base) > 0, done).otherwise(text)
+
+
+def bare(unit: Column) -> Column:
+    return F.ltrim(unit, F.lit(BLANK))
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """(row, value, left, right) for each candidate of rows (row, text as marked() gives it)."""
+    tokens, units = F.regexp_extract_all("text", F.lit(TOKENS), F.lit(0)), F.regexp_extract_all("text", F.lit(UNITS), F.lit(0))
+    none = F.array().cast("array<string>")
+    rows = rows.select("row", tokens.alias("t"), F.when(F.col("text").rlike(r"(?<!\S)" + RUN), units).otherwise(none).alias("u"))
+    nothing = F.lit(None).cast("string")
+
+    def placed(c: str) -> Column:
+        near = [F.col(c), F.concat(F.array(nothing), c), F.concat(F.array(nothing, nothing), c), F.slice(c, F.lit(2), F.size(c))]
+        return F.arrays_zip(*[x.alias(n) for x, n in zip(near, ("x", "p", "pp", "n"), strict=True)])
+
+    whole = F.filter(placed("u"), lambda z: z["x"].rlike(r"\S\s"))
+    z = rows.select("row", F.explode(F.concat(placed("t"), whole)).alias("z")).select("row", "z.*")
+    clean = lambda c: F.translate(F.coalesce(c, F.lit("")), MARK, "")
+    value, gap = bare(F.col("x")), F.length("x") - F.length(bare(F.col("x")))
+    part = lambda c: F.coalesce(F.col(c), F.lit("")).rlike(r"^\s*+" + GROUP + r"[,;:!?]*+$")
+    digit = F.col("x").rlike("[0-9]")
+    inside = digit & part("x") & (F.length(digits(F.col("x"))) < 6) & (part("p") | part("n"))
+    z = z.where(F.col("x").isNotNull() & ~F.col("x").contains(MARK) & ~inside)
+    before = F.right(F.concat(clean(F.col("pp")), clean(F.col("p")), F.left("x", gap)), F.lit(80))
+    return z.select("row", value.alias("value"), near(before).alias("left"), near(F.left(clean(F.col("n")), F.lit(60))).alias("right"))
+
+
+def bootstrap(seen: DataFrame, others: DataFrame, scratch: Scratch) -> DataFrame:
+    """(value, found) of discovered values: seen (value, kind_no, pattern) are those of seeds, others (value, pattern) candidates'."""
+    seeds = scratch.keep(seen.distinct(), "seeds")
+    kinds = seeds.groupBy("pattern", "kind_no").agg(F.count_distinct("value").alias("n"))
     kinds = kinds.groupBy("pattern").agg(F.sum("n").alias("support"), F.max_by("kind_no", F.struct("n", -F.col("kind_no"))).alias("kind"))
-    graph = edges.select("pattern", "value").distinct().join(seeds, "value").join(kinds.where(F.col("support") >= SUPPORT), "pattern")
-    graph = scratch.keep(graph.withColumn("confidence", (F.col("seed") >= 0).cast("double")), "graph")
+    slots = scratch.keep(kinds.where(F.col("support") >= SUPPORT), "slots")
+    known = slots.select("pattern")
+    if slots.count() <= BROADCAST_ROWS // 10:
+        known = F.broadcast(known)
+    edges = scratch.keep(seeds.select("pattern", "value").unionByName(others.select("pattern", "value")).join(known, "pattern").distinct(), "edges")
+    fixed = seeds.select("value", F.lit(True).alias("seed")).distinct()
+    two = edges.where(F.col("pattern").startswith("LL:")).select("value").distinct()
+    live = edges.join(two, "value", "left_semi").groupBy("value").count().where("count >= 2").select("value")
+    live = live.unionByName(fixed.select("value")).distinct().join(fixed, "value", "left").select("value", F.coalesce("seed", F.lit(False)).alias("seed"))
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("size"))
+    graph = edges.join(live, "value").join(slots, "pattern").join(sizes, "pattern")
+    graph = scratch.keep(graph.withColumn("confidence", F.col("seed").cast("double")), "graph")
     for _ in range(ROUNDS):
-        scores = graph.groupBy("pattern").agg(F.avg("confidence").alias("p"))
+        scores = graph.groupBy("pattern").agg((F.sum("confidence") / F.max("size")).alias("p"))
         scored = graph.drop("confidence", "p").join(scores, "pattern")
-        values = scored.groupBy("value").agg(F.avg("p").alias("v"), F.count("*").alias("n"), F.max(F.col("pattern").startswith("LL:")).alias("two"))
-        step = scored.join(values, "value").withColumn("confidence", F.when(F.col("seed") >= 0, 1.0).when((F.col("n") >= 2) & F.col("two"), F.col("v")).otherwise(0.0))
-        step = scratch.keep(step.select("pattern", "value", "seed", "support", "kind", "p", "confidence"), "step")
+        values = scored.groupBy("value").agg(F.avg("p").alias("v"))
+        step = scored.join(values, "value").withColumn("confidence", F.when(F.col("seed"), 1.0).otherwise(F.col("v")))
+        step = scratch.keep(step.drop("v"), "step")
         scratch.drop(graph)
         graph = step
-    good = graph.where((F.col("seed") < 0) & (F.col("confidence") >= CONFIDENCE))
-    return good.groupBy("value").agg(F.max_by("kind", F.struct("p", "support", "pattern")).alias("found"))
+    good = graph.where(~F.col("seed") & (F.col("confidence") >= CONFIDENCE))
+    return scratch.keep(good.groupBy("value").agg(F.max_by("kind", F.struct("p", "support", "pattern")).alias("found")), "found")
+
+
+def located(text: Column, form: str, hits: Column) -> Column:
+    """Spans of the units of form in a marked text that are values of hits (value, found)."""
+    values = F.transform(hits, lambda h: h["value"])
+    return F.aggregate(
+        F.regexp_extract_all(text, F.lit(form), F.lit(0)),
+        F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
+        lambda acc, u: F.struct(
+            (acc["at"] + F.length(F.translate(u, MARK, ""))).alias("at"),
+            F.when(
+                F.array_contains(values, bare(u)),
+                F.array_append(
+                    acc["out"],
+                    F.struct(
+                        (acc["at"] + F.length(u) - F.length(bare(u))).alias("start"), F.element_at(hits, F.array_position(values, bare(u)).cast("int"))["found"].alias("kind_no"),
+                        (acc["at"] + F.length(u)).alias("end"), bare(u).alias("value"),
+                    ),
+                ),
+            ).otherwise(acc["out"]).alias("out"),
+        ),
+        lambda acc: acc["out"],
+    )
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
@@ -127,19 +222,25 @@ def personal_data(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text"))
     rows = rows.withColumn("base", entities(F.col("text")))
-    free = F.filter(
-        spans_of(F.col("text"), CANDIDATE, -1), lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    )
-    rows = rows.withColumn("free", free)
-    around = lambda col: F.transform(col, lambda x: F.struct(x.alias("span"), patterns(F.col("text"), x).alias("patterns")))
-    rows = scratch.keep(rows.select("row", "doc_id", around("base").alias("base"), around("free").alias("free")), "spans")
-    seen = rows.select(F.explode(F.concat("base", "free")).alias("x"))
-    edges = seen.select(F.col("x.span.value").alias("value"), F.col("x.span.kind_no").alias("kind_no"), F.explode("x.patterns").alias("pattern"))
-    found = bootstrap(edges, scratch)
-    more = rows.select("row", F.explode("free.span").alias("x")).join(found, F.col("x.value") == found["value"])
-    more = more.groupBy("row").agg(F.collect_list(F.struct(F.col("x.start").alias("start"), F.col("found").alias("kind_no"), F.col("x.end").alias("end"), F.col("x.value").alias("value"))).alias("more"))
-    out = rows.join(more, "row", "left").withColumn("base", F.col("base.span"))
-    return out.select("row", "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(SPAN)))).alias("spans"))
+    seen = F.transform("base", lambda x: F.struct(x.alias("span"), around(F.col("text"), x).alias("patterns")))
+    rows = scratch.keep(rows.select("row", "doc_id", seen.alias("base"), marked(F.col("text"), F.col("base")).alias("text")), "spans")
+    seeds = rows.select(F.explode("base").alias("x")).select(F.col("x.span.value").alias("value"), F.col("x.span.kind_no").alias("kind_no"), F.explode("x.patterns").alias("pattern"))
+    tried = candidates(rows)
+    found = bootstrap(seeds, tried.select("value", F.explode(patterns(F.col("left"), F.col("right"))).alias("pattern")), scratch)
+    out = rows.select("row", "doc_id", F.col("base.span").alias("base"))
+    none = F.array().cast(SPAN)
+    n = found.count()
+    if not n:
+        return out.withColumn("spans", F.concat("base", none))
+    hits = tried.select("row", "value").join(F.broadcast(found) if n <= BROADCAST_ROWS // 10 else found, "value")
+    hits = scratch.keep(hits.groupBy("row").agg(F.collect_set(F.struct("value", "found")).alias("hits")), "hits")
+    if hits.count() <= BROADCAST_ROWS // 10:
+        hits = F.broadcast(hits)
+    t, h = F.col("text"), F.col("hits")
+    more = rows.select("row", "text").join(hits, "row").select("row", F.array_distinct(F.concat(located(t, TOKENS, h), located(t, UNITS, h))).alias("more"))
+    inner = lambda x: F.exists("more", lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]) & (y["end"] - y["start"] > x["end"] - x["start"]))
+    more = more.select("row", F.filter("more", lambda x: ~inner(x)).alias("more"))
+    return out.join(more, "row", "left").select("row", "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"))
 
 
 def span_list(spans: Column) -> Column:

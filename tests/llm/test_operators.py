@@ -339,6 +339,19 @@ def test_bootstrapped_identifiers(spark):
     assert shown[8] == "note: please call me under <phone> before noon" and shown[0] == "note 0: please call me under <phone> before noon" and shown[9] == docs[9]
 
 
+def test_discoveries_of_any_form(spark):
+    """Values in letters and in groups of digits, in slots that seeds have; not the groups alone, nor words in mixed slots."""
+    docs = [f"note {i}: please call me under +49 30 55{i:05d} before noon" for i in range(8)]
+    docs += [f"ask or mail me at user{i}@host.org for more" for i in range(12)]
+    docs += ["so call me under 030 5512 345 before noon", "and mail me at john[at]host.org for more", "only 030 of these", "we call me under  (743) 555-3824 before ten"]
+    docs += [f"they go to see word{i} on foot" for i in range(9)] + [f"they go to see +1 212 555 {i:04d} on foot" for i in range(4)]
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {r["doc_id"]: [(docs[r["doc_id"]][s["start"] : s["end"]], s["value"], s["kind_no"]) for s in r["spans"]] for r in pii_bootstrap.personal_data(rows).collect()}
+    assert got[20] == [("030 5512 345",) * 2 + (3,)] and got[21] == [("john[at]host.org",) * 2 + (0,)]
+    assert got[22] == [] and got[23] == [("(743) 555-3824",) * 2 + (3,)]
+    assert not any(got[i] for i in range(24, 33)) and all(len(got[i]) == 1 for i in [*range(20), *range(33, 37)])
+
+
 def labelled(n, seed):
     r = random.Random(seed)
     bad = ["vile", "grubby", "nasty", "snarkle", "snarkler"]
