@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 #: Words in an index; a longer document has one of its own.
 SHARD_WORDS = 1_000_000
 #: Every so many text positions a suffix position is kept.
@@ -271,26 +274,56 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 def decontaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """docs with every hit word cut from text (again, until no window occurs); n_chars follows, if there is one.
 
-    Documents without a hit stay as they are; one whose text has nothing left is dropped.
+    Each round cuts the merged spans of all windows at once, in however many blocks these are searched. Documents
+    without a hit stay as they are; one whose text has nothing left is dropped.
     """
-    out = docs
-    for block in windows_of(benchmark, n):
-        shared = docs.sparkSession.sparkContext.broadcast(Phrases(block))
-        at = docs.columns.index("text")
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, at=at) -> Iterator[pa.RecordBatch]:
-            for b in batches_of(batches, "text"):
-                texts = b.column("text").to_pylist()
-                todo = list(range(len(texts)))
-                while todo:
-                    got = shared.value.find([texts[i] for i in todo])
-                    hit = [(i, spans) for i, (_, spans, _) in zip(todo, got, strict=True) if spans]
-                    for i, spans in hit:
-                        texts[i] = cut(texts[i], spans) or None
-                    todo = [i for i, _ in hit]
-                gone = [x is None and y is not None for x, y in zip(texts, b.column("text").to_pylist(), strict=True)]
-                cols = [pa.array(texts, f.type) if i == at else c for i, (c, f) in enumerate(zip(b.columns, b.schema, strict=True))]
-                yield pa.RecordBatch.from_arrays(cols, names=b.schema.names).filter(pa.array([not x for x in gone]))
-
-        out = out.mapInArrow(run, docs.schema)
+    blocks = windows_of(benchmark, n)
+    first = next(blocks)
+    out = cut_in_rounds(docs, benchmark, n) if next(blocks, None) else cut_by_block(docs, first)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
+def cut_by_block(docs: DataFrame, block: dict[tuple[bytes, ...], list[str]]) -> DataFrame:
+    """decontaminated() for windows that are one block: all rounds in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast(Phrases(block))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches_of(batches, "text"):
+            texts = b.column("text").to_pylist()
+            todo = list(range(len(texts)))
+            while todo:
+                got = shared.value.find([texts[i] for i in todo])
+                hit = [(i, spans) for i, (_, spans, _) in zip(todo, got, strict=True) if spans]
+                for i, spans in hit:
+                    texts[i] = cut(texts[i], spans) or None
+                todo = [i for i, _ in hit]
+            gone = [x is None and y is not None for x, y in zip(texts, b.column("text").to_pylist(), strict=True)]
+            cols = [pa.array(texts, f.type) if i == at else c for i, (c, f) in enumerate(zip(b.columns, b.schema, strict=True))]
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names).filter(pa.array([not x for x in gone]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def cut_in_rounds(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
+    """decontaminated() for windows of many blocks: a round searches all of them in the rows that the last one cut."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [cut(t, [(x["start"], x["end"]) for x in s]) or None for t, s in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("_cut_row"), pa.array(texts, pa.string())], names=["_cut_row", "text"])
+
+    scratch = Scratch(docs.sparkSession, "cut")
+    rows = scratch.keep(docs.withColumn("_cut_row", F.monotonically_increasing_id()), "rows")
+    todo, cuts = rows.select("_cut_row", "text"), []
+    while True:
+        hits = contamination(todo, benchmark, n, key="_cut_row").where(F.size("spans") > 0).select("_cut_row", "spans")
+        todo = scratch.keep(todo.join(hits, "_cut_row").select("_cut_row", "text", "spans").mapInArrow(run, "_cut_row long, text string"), "cut")
+        if todo.isEmpty():
+            break
+        cuts.append(todo.select("_cut_row", F.struct("text").alias("_cut"), F.lit(len(cuts)).alias("_round")))
+    if not cuts:
+        return rows.select(*docs.columns)
+    last = reduce(DataFrame.unionByName, cuts).groupBy("_cut_row").agg(F.max_by("_cut", "_round").alias("_cut"))
+    out = rows.join(last, "_cut_row", "left").where(F.col("_cut").isNull() | F.col("_cut.text").isNotNull())
+    return out.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.col("_cut.text"))).select(*docs.columns)

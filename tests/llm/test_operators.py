@@ -478,6 +478,21 @@ def test_contamination(spark, docs, frame, empty, monkeypatch):
     assert fm_index.contamination(frame, bench.limit(0)).where("size(spans) > 0").count() == 0
 
 
+def test_decontamination_in_blocks(spark, monkeypatch):
+    """Windows in many blocks cut what one block cuts: overlapping items, and windows that appear by joining."""
+    w = [f"w{i}" for i in range(1, 40)]
+    items = [(1, " ".join(w[:15])), (2, " ".join(w[9:22])), (3, "a b c d e f g h i j"), (4, "k l m n o p q r s t")]
+    texts = [" ".join(w[:22]), "x " + " ".join(w[:22]) + " y", "a b c d k l m n o p q r s t e f g h i j z", "k l m n o a b c d e f g h i j p q r s t z", "clean text", "", None]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)] + [(1, texts[1], 0)], "doc_id long, text string, n_chars long")
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    one = sorted(map(repr, fm_index.decontaminated(docs, bench, 10).collect()))
+    monkeypatch.setattr(fm_index, "BLOCK", 1)
+    assert len(list(fm_index.windows_of(bench, 10))) > 2
+    got = fm_index.decontaminated(docs, bench, 10)
+    assert sorted(map(repr, got.collect())) == one and got.columns == docs.columns
+    assert {r["doc_id"]: " ".join((r["text"] or "").split()) for r in got.collect()} == {1: "x y", 2: "z", 3: "z", 4: "clean text", 5: "", 6: ""}
+
+
 def test_fm_index_locates():
     r = np.random.default_rng(3)
     t = r.integers(0, 4, 2000)
