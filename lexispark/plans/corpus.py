@@ -329,10 +329,12 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def near_duplicate_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The kept set of documents as bags of words, in the order of doc_id; rows only."""
-    words = segment.tokens(table(spark, sf_dir, "documents").select("doc_id", F.lit(1).alias("sent_no"), F.col("text").alias("sentence")), "doc_id")
+    """The kept set of all sentences, in the order of doc_id and sent_no; rows only."""
+    order = F.struct(*KEYS).alias("place")
     _checkpoint(spark)
-    return dedupe.greedy_keep(dedupe.bands(dedupe.fingerprints(words, "doc_id"), "doc_id"), "doc_id")
+    words = toks(spark, sf_dir).select(order, "form")
+    kept = dedupe.greedy_keep(dedupe.bands(dedupe.fingerprints(words, "place"), "place"), "place")
+    return kept.select("place.*", "kept")
 
 
 def _checkpoint(spark: SparkSession) -> None:

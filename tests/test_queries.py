@@ -30,3 +30,11 @@ def test_entry_imports():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_near_duplicate_sentences(spark, tmp_path):
+    """Sentences that repeat within a document and across documents; the first in order is kept."""
+    rows = [(1, "The cat sat here. A dog ran far away. The cat sat here."), (2, "A dog ran far away.\nSomething else again."), (3, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r["doc_id"], r["sent_no"]): r["kept"] for r in corpus.QUERIES["near_duplicate_sentences"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 1): True, (1, 2): True, (1, 3): False, (2, 1): False, (2, 2): True}
