@@ -294,6 +294,13 @@ def collocation_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.collocation_postings(found, t.select(*KEYS, "id", "lemma"), *KEYS).select(*KEYS, "id", "term")
 
 
+@query()
+def collocation_postings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings of the collocations of all twelve relations."""
+    t = trees(spark, sf_dir)
+    return index.collocation_postings(relations.collocations(t, *KEYS), t.select(*KEYS, "id", "lemma"), *KEYS).select(*KEYS, "id", "term")
+
+
 @query(f"""WITH {TREES} SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, CAST(id AS INTEGER) AS id, '#' || lemma AS term FROM t
 UNION ALL SELECT doc_id, CAST(sent_no AS INTEGER), CAST(id AS INTEGER), 'p#' || upos || '#' || lemma FROM t""")
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:

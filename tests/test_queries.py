@@ -38,3 +38,19 @@ def test_near_duplicate_sentences(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {(r["doc_id"], r["sent_no"]): r["kept"] for r in corpus.QUERIES["near_duplicate_sentences"](spark, str(tmp_path)).collect()}
     assert got == {(1, 1): True, (1, 2): True, (1, 3): False, (2, 1): False, (2, 2): True}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_postings_of_all_relations(spark):
+    """Every collocation of every relation, by brute force over the collected trees' lemmas."""
+    from lexispark.operators import relations
+
+    t = corpus.trees(spark, SF).where("doc_id < 40").localCheckpoint()
+    lemma = {(r["doc_id"], r["sent_no"], r["id"]): r["lemma"] for r in t.collect()}
+    want = set()
+    for r in relations.collocations(t, *corpus.KEYS).collect():
+        at = (r["doc_id"], r["sent_no"])
+        a, b, rel = lemma[(*at, r["n1"])], lemma[(*at, r["n2"])], r["rel"].lower()
+        want |= {(*at, n, x) for n in (r["n1"], r["n2"]) for x in (f"c#{rel}#{a}#{b}", f"c#{rel}_#{b}#{a}")}
+    got = corpus.QUERIES["collocation_postings_all"](spark, SF).where("doc_id < 40").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len({x.split("#")[1] for *_, x in want}) > 4
