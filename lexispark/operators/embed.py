@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import itertools
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,6 +29,51 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def nearest_of_all(vectors: DataFrame, queries: DataFrame, k: int, block: int = 2000) -> DataFrame:
+    """(query_id, vec_id, similarity, rank): the k nearest of all vectors, whatever their labels, the query itself left out.
+
+    Blocks of queries are broadcast one by one; each Arrow batch of vectors gives the k nearest of each query, and these
+    are merged. Vectors that are null, empty, zero, not finite or of another length than the query have no similarity.
+    """
+    ids = vectors.schema["vec_id"].dataType.simpleString()
+    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    asked = queries.select("vec_id", F.col("embedding").cast("array<double>").alias("v")).toLocalIterator()
+    found = vectors.sparkSession.createDataFrame([], f"query_id {ids}, vec_id {ids}, similarity double")
+    while part := list(itertools.islice(asked, block)):
+        shared = vectors.sparkSession.sparkContext.broadcast(_matrices([r[0] for r in part], [r[1] for r in part]))
+
+        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                have = _matrices(list(b["vec_id"]), list(b["v"]))
+                for n, (qs, q) in shared.value.items():
+                    if n not in have:
+                        continue
+                    vs, v = have[n]
+                    for at in range(0, len(qs), 200):
+                        sims = np.round(q[at : at + 200] @ v.T, 9)
+                        sims[np.equal.outer(qs[at : at + 200], vs)] = -np.inf
+                        for i, row in enumerate(sims):
+                            best = np.lexsort((vs, -row))[:k]
+                            best = best[row[best] > -np.inf]
+                            yield pd.DataFrame({"query_id": qs[at + i], "vec_id": vs[best], "similarity": row[best]})
+
+        found = found.unionByName(rows.mapInPandas(run, found.schema))
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("similarity").desc(), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _matrices(ids: list, vectors: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and unit vectors by length, of those that have a direction."""
+    out: dict[int, tuple[list, list]] = {}
+    for i, v in zip(ids, vectors, strict=True):
+        x = None if v is None else np.array(v, float)
+        if x is not None and len(x) and np.isfinite(x).all() and (size := np.sqrt(x @ x)) > 0:
+            got = out.setdefault(len(x), ([], []))
+            got[0].append(i)
+            got[1].append(x / size)
+    return {n: (np.array(i), np.array(x)) for n, (i, x) in out.items()}
+
+
 def clusters(vectors: DataFrame, k: int, seed: int = 7) -> DataFrame:
     """vectors with cluster, by k means from a seed."""
     from pyspark.ml.clustering import KMeans

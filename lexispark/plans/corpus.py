@@ -398,6 +398,15 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.nearest(v, v.where(F.col("vec_id") % 20 == 0), 5)
 
 
+@query("""SELECT query_id, vec_id, similarity, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT q.vec_id AS query_id, v.vec_id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 9) AS similarity,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 9) DESC, v.vec_id) AS rank
+  FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0) WHERE rank <= 5""")
+def nearest_vectors_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = table(spark, sf_dir, "embeddings")
+    return embed.nearest_of_all(v, v.where(F.col("vec_id") % 20 == 0), 5)
+
+
 @query()
 def vector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed.clusters(table(spark, sf_dir, "embeddings"), 10).select("vec_id", "label", "cluster")

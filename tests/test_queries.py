@@ -40,6 +40,11 @@ def test_near_duplicate_sentences(spark, tmp_path):
     assert got == {(1, 1): True, (1, 2): True, (1, 3): False, (2, 1): False, (2, 2): True}
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_nearest_of_all_rows(spark):
+    test_same_as_sql(spark, "nearest_vectors_all")
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_postings_of_all_relations(spark):
     """Every collocation of every relation, by brute force over the collected trees' lemmas."""
