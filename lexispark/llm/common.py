@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,9 +72,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def row_key(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """A key per row, stable as long as the rows come from files: ids may repeat."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def slices(batches: Iterator[pa.RecordBatch], size: int, *columns: str) -> Iterator[pa.RecordBatch]:
+    """Parts of batches with at most so many bytes in columns of text, or with one longer row."""
+    for b in batches:
+        ends = sum(np.cumsum(pc.fill_null(pc.binary_length(b.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) for c in columns)
+        lo = 0
+        while lo < len(b):
+            before = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
 
 
 def lower_ascii() -> bytes:

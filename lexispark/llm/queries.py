@@ -100,9 +100,9 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def piece_digests(pieces: DataFrame) -> DataFrame:
+def piece_digests(pieces: DataFrame, key: str = "doc_id", *more: str) -> DataFrame:
     return pieces.select(
-        "doc_id", "start", F.expr("octet_length(ids) div 4").alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+        key, "start", F.expr("octet_length(ids) div 4").alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", *more
     )
 
 
@@ -113,6 +113,21 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def instruction_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of all conversations, each after the turn before it, in sequences with three limits.
+
+    The turn before is a prompt and bears no loss; the limit of loss-bearing tokens ends sequences of long answers, that
+    of segments those of short ones.
+    """
+    from .packing import pack
+
+    turns = table(spark, sf_dir, "conversations")
+    before = turns.where("role <> 'assistant'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("prompt"))
+    answers = turns.where("role = 'assistant'").join(before, ["conv_id", "turn"], "left")
+    pieces = pack(answers.select(F.concat_ws(":", "conv_id", "turn").alias("example"), "prompt", "text"), tokenizer_path(), segments=16, loss=3072, prompt="prompt", key="example")
+    return piece_digests(pieces, "example", "loss_tokens")
+
+
 def op6_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record for each page, read back through the merged capture index."""
     from .capture_index import captures
@@ -214,7 +229,7 @@ FROM d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items t ON d.d
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_balanced_shards, op2_run_index, op3_url_cascade, op4_coordinate_join, op5_vector_packing, op6_capture_index, op7_bootstrapped_pii, op8_crf_toxicity, op9_projections, op10_fm_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_balanced_shards, op2_run_index, op3_url_cascade, op4_coordinate_join, op5_vector_packing, op6_capture_index, op7_bootstrapped_pii, op8_crf_toxicity, op9_projections, op10_fm_decontamination, instruction_packing)}
 ORACLE_SQL: dict[str, str] = {
     "op2_run_index": OP2_SQL,
     "op3_url_cascade": OP3_SQL,

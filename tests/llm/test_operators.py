@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -234,7 +235,7 @@ def test_packing(docs, frame, empty):
     odd = ["It's 3.5% <|endoftext|> Straße x y İstanbul ΣΑΣ", "é café, don't"]
     want = {i: [*tok.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(docs)}
     for t in odd + [t for t in docs if t]:
-        assert packing.WordTokenizer.of(path).ids([t])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
+        assert packing.WordTokenizer(path).ids(pa.array([t]))[0].tolist() == tok.encode(t, add_special_tokens=False).ids
     got = packing.pack(frame, path, tokens=256, segments=5).collect()
     pieces, sequences = {}, {}
     for r in got:
@@ -254,6 +255,30 @@ def test_packing(docs, frame, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_packing_prompts(spark):
+    """Prompts bear no loss; every sequence keeps all three limits, and each example's ids come back in order."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer()
+    tok = Tokenizer.from_file(path)
+    r = random.Random(4)
+    rows = [(f"k{i}", " ".join(r.choices(WORDS, k=r.randint(0, 40))) or None, " ".join(r.choices(WORDS, k=r.randint(0, 90)))) for i in range(80)]
+    got = packing.pack(spark.createDataFrame(rows, "k string, p string, text string"), path, tokens=128, segments=4, loss=60, prompt="p", key="k").collect()
+    pieces, sequences = {}, {}
+    for x in got:
+        ids = np.frombuffer(bytes(x["ids"]), np.uint32).tolist()
+        pieces.setdefault(x["k"], []).append((x["start"], ids))
+        s = sequences.setdefault(x["sequence_id"], [0, 0, 0])
+        s[0], s[1], s[2] = s[0] + len(ids), s[1] + 1, s[2] + x["loss_tokens"]
+    prompt = {k: tok.encode(p or "", add_special_tokens=False).ids for k, p, _ in rows}
+    for k, _, t in rows:
+        want = prompt[k] + tok.encode(t, add_special_tokens=False).ids + [2]
+        assert [i for _, part in sorted(pieces[k]) for i in part] == want
+    assert all(a <= 128 and b <= 4 and c <= 60 for a, b, c in sequences.values())
+    assert sum(c for _, _, c in sequences.values()) == sum(len(ids) for x in pieces.values() for _, ids in x) - sum(map(len, prompt.values()))
+    assert max(c for _, _, c in sequences.values()) == 60
+
+
 def test_packing_limits_loss():
     p = packing.Packer(10, 3, 6, window=2)
     for i, n in enumerate([7, 3, 12, 5, 1]):
