@@ -82,7 +82,3 @@ def slices(batches: Iterator[pa.RecordBatch], size: int, *columns: str) -> Itera
             hi = max(lo + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield b.slice(lo, hi - lo)
             lo = hi
-
-
-def lower_ascii() -> bytes:
-    return bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))

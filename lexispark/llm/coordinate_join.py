@@ -20,11 +20,12 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Scratch, lower_ascii
+from .common import BROADCAST_ROWS, Scratch, slices
 from .components import components
 
 K = 64
@@ -32,10 +33,8 @@ K = 64
 MISS = 1e-6
 #: Shingles of the members, and of those compared with them, that a block holds (more only for a longer document).
 MEMBER_BLOCK, QUERY_BLOCK = 1_000_000, 500_000
-#: Distinct words that a Python worker remembers.
-WORDS = 1_000_000
-LOWER = lower_ascii()
-_words: dict[bytes, int] = {}
+#: Bytes of texts that are shingled together (more only for a longer text).
+BATCH = 8_000_000
 
 
 def match_count(similarity: float, k: int = K, miss: float = MISS) -> int:
@@ -49,27 +48,32 @@ def match_count(similarity: float, k: int = K, miss: float = MISS) -> int:
     return k
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams; with fewer words, of the whole sequence; without any, none."""
-    ws = text.encode().translate(LOWER).split() if text else []
-    if not ws:
-        return np.zeros(0, np.uint64)
-    if len(_words) > WORDS:
-        _words.clear()
-    get = _words.get
-    found = [get(w) for w in ws]
-    if None in found:
-        for w in ws:
-            if w not in _words:
-                _words[w] = xxhash.xxh64_intdigest(w)
-        found = [_words[w] for w in ws]
-    h = np.array(found, np.uint64)
-    n = min(size, len(h))
-    out = np.full(len(h) - n + 1, n, np.uint64)
-    for i in range(n):
-        out = (out ^ h[i : len(h) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(32)
-    return np.unique(out)
+def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """For each text, sorted distinct 64-bit hashes of its word n-grams; with fewer words, of the whole sequence; without any, none.
+
+    Arrow splits the words, and each distinct one is hashed once; nothing is kept from batch to batch.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    words, bounds = parts.flatten(), parts.offsets.to_numpy() - parts.offsets[0].as_py()
+    some = pc.not_equal(words, "").to_numpy(zero_copy_only=False)  # white space at an end leaves an empty word
+    bounds = np.r_[0, np.cumsum(some)][bounds]
+    words = words.dictionary_encode()
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words.dictionary.to_pylist()], np.uint64)
+    h = hashes[words.indices.to_numpy()[some]]
+
+    def grams(h: np.ndarray, n: int) -> np.ndarray:
+        out = np.full(max(0, len(h) - n + 1), n, np.uint64)
+        for i in range(n):
+            out = (out ^ h[i : len(h) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(32)
+        return out
+
+    # Those that run over a text's end are not read.
+    every = grams(h, size)
+    found = []
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        found.append(np.unique(every[lo : hi - size + 1] if hi - lo >= size else grams(h[lo:hi], hi - lo) if hi > lo else every[:0]))
+    return found
 
 
 def multipliers(k: int) -> np.ndarray:
@@ -81,10 +85,9 @@ def signatures(docs: DataFrame, size: int, k: int) -> DataFrame:
     factors = multipliers(k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, BATCH, "text"):
             n, keys, sigs = [], [], []
-            for text in b.column(2).to_pylist():
-                s = shingles(text, size)
+            for s in shingle_sets(b.column(2), size):
                 n.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
                 sig = np.full(k, np.uint32(0xFFFFFFFF))
@@ -98,8 +101,8 @@ def signatures(docs: DataFrame, size: int, k: int) -> DataFrame:
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1]), sig], names=["row", "doc_id", "n", "k1", "k2", "sig"]
             )
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "row long, doc_id long, n long, k1 long, k2 long, sig array<int>")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return rows.mapInArrow(run, f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, k1 long, k2 long, sig array<int>")
 
 
 def linked(inter: np.ndarray, a: int, b: np.ndarray, percent: int) -> np.ndarray:
@@ -115,7 +118,7 @@ def confirm(units: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     def run(_: tuple, unit: pa.Table) -> pa.Table:
         query = unit.column("query").to_numpy(zero_copy_only=False)
         cls, comp = unit.column("cls").to_numpy(), unit.column("comp").to_numpy()
-        sets = [shingles(t, size) for t in unit.column("text").to_pylist()]
+        sets = shingle_sets(unit.column("text").combine_chunks(), size)
         members = np.flatnonzero(~query)
         owner = np.repeat(np.arange(len(members)), [len(sets[i]) for i in members])
         flat = np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in members)])
@@ -273,14 +276,14 @@ def class_texts(docs: DataFrame, cand: DataFrame, size: int) -> DataFrame:
     """(cls, text): for each class of cand (cls, doc_id, k1, k2) the text of a document that has its number and set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, BATCH, "text"):
             same = [
-                xxhash.xxh3_128_digest(shingles(t, size).tobytes()) == np.array([x, y], np.int64).tobytes()
-                for t, x, y in zip(*(b.column(c).to_pylist() for c in ("text", "k1", "k2")), strict=True)
+                xxhash.xxh3_128_digest(s.tobytes()) == np.array([x, y], np.int64).tobytes()
+                for s, x, y in zip(shingle_sets(b.column("text"), size), b.column("k1").to_pylist(), b.column("k2").to_pylist(), strict=True)
             ]
             yield b.select(["cls", "text"]).filter(pa.array(same, pa.bool_()))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select("doc_id", "text")
     if cand.count() <= BROADCAST_ROWS:
         ids = cand.select(F.col("doc_id").alias("id")).distinct()
         rows = rows.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")

@@ -20,17 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, slices
 
 #: Labelled rows of either kind that the field is fitted to: the bound of the training sample.
 TOXIC_ROWS, CLEAN_ROWS = 1500, 2000
 #: Hashed weights for each of: a token's own features, the word before it, the word after it.
 WEIGHTS = 1 << 18
 OWN = 8
-#: A chain ends with a sentence, or after so many tokens.
-CHAIN = 128
-#: Distinct tokens that a Python worker remembers.
-WORDS = 600_000
+#: Distinct tokens that a task remembers, about 300 bytes each, and bytes of texts that it scores together.
+WORDS, BATCH = 250_000, 2_000_000
 EDGE = re.compile(r"^\W+|\W+$")
 TOKEN = re.compile(r"\S+")
 
@@ -65,7 +63,7 @@ class Words:
 
 
 class Chains:
-    """Tokens of several documents cut to chains, laid out by time: at each step the chains that last so long."""
+    """Tokens of several documents cut to sentences, laid out by time: at each step the chains that last so long."""
 
     def __init__(self, numbers: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> None:
         """numbers: tokens of all documents, one after the other; sizes: tokens of each."""
@@ -75,9 +73,6 @@ class Chains:
         stop[np.cumsum(sizes)[sizes > 0] - 1] = True
         start = np.r_[True, stop[:-1]][:n]
         at = np.flatnonzero(start)
-        inside = np.arange(n) - np.repeat(at, np.diff(np.r_[at, n]))
-        start |= inside % CHAIN == 0
-        at = np.flatnonzero(start)
         lengths = np.diff(np.r_[at, n])
         order = np.argsort(-lengths, kind="stable")
         at, lengths = at[order], lengths[order]
@@ -265,14 +260,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, known = Words(), [np.zeros(0)] * 3
-        for b in batches:
-            for lo in range(0, len(b), 500):
-                part = b.slice(lo, 500)
-                if len(words.place) > WORDS:
-                    words, known = Words(), [np.zeros(0)] * 3
-                score, spans = shared.value.score([t or "" for t in part.column(at).to_pylist()], words, known)
-                found = pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], SPANS)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), found], names=[*b.schema.names, "score", "spans"])
+        for b in slices(batches, BATCH, "text"):
+            if len(words.place) > WORDS:
+                words, known = Words(), [np.zeros(0)] * 3
+            score, spans = shared.value.score([t or "" for t in b.column(at).to_pylist()], words, known)
+            found = pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], SPANS)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score), found], names=[*b.schema.names, "score", "spans"])
 
     from pyspark.sql import types as T
 

@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, slices
 
-#: Words in an index; a longer document has one of its own.
+#: Words in an index, six bytes each; a longer document has one of its own.
 SHARD_WORDS = 1_000_000
 #: Every so many text positions a suffix position is kept.
 SAMPLE = 16
@@ -203,17 +203,6 @@ def windows_of(benchmark: DataFrame, n: int) -> Iterator[dict[tuple[bytes, ...],
     yield block
 
 
-def batches_of(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Shards: slices of the input of about SHARD_WORDS words (six bytes a word) or one longer document."""
-    for b in batches:
-        sizes = np.cumsum([0] + [len(x or "") for x in b.column(text).to_pylist()])
-        lo = 0
-        while lo < len(b):
-            hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + 6 * SHARD_WORDS, side="right")) - 1)
-            yield b.slice(lo, hi - lo)
-            lo = hi
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, spans, items) for every row of docs.
 
@@ -231,7 +220,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, key: str =
         shared = docs.sparkSession.sparkContext.broadcast(Phrases(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches_of(batches, "_text"):
+            for b in slices(batches, 6 * SHARD_WORDS, "_text"):
                 got = shared.value.find(b.column("_text").to_pylist())
                 spans = [[{"start": lo, "end": hi} for lo, hi in x] for _, x, _ in got]
                 yield pa.RecordBatch.from_arrays(
@@ -289,7 +278,7 @@ def cut_by_block(docs: DataFrame, block: dict[tuple[bytes, ...], list[str]]) ->
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches_of(batches, "text"):
+        for b in slices(batches, 6 * SHARD_WORDS, "text"):
             texts = b.column("text").to_pylist()
             todo = list(range(len(texts)))
             while todo:
