@@ -4,7 +4,7 @@ Labels mark documents only, so token labels are derived first: in a toxic docume
 (itself, a start or an end of it) which labelled documents show far more often on the toxic side. The field is then
 fitted to these tokens: each token's score for the toxic state is the sum of the weights of its own features and of its
 two neighbours' words, and four weights join the states of neighbouring tokens. Forward and backward ratios give the
-marginal of every token; a logistic function of the largest marginal and of their sum scores the document, and runs of
+marginal of every token; a logistic function of the largest marginal, of their sum and of the text's length scores the document, and runs of
 tokens whose marginal is at least one half are the offending spans.
 """
 
@@ -27,6 +27,8 @@ TOXIC_ROWS, CLEAN_ROWS = 1500, 2000
 #: Hashed weights for each of: a token's own features, the word before it, the word after it.
 WEIGHTS = 1 << 18
 OWN = 8
+#: How much likelier in toxic documents a feature must be that marks its words as toxic.
+ODDS = 60
 #: Distinct tokens that a task remembers, about 300 bytes each, and bytes of texts that it scores together.
 WORDS, BATCH = 250_000, 2_000_000
 EDGE = re.compile(r"^\W+|\W+$")
@@ -108,11 +110,11 @@ class Chains:
 
 
 def summary(m: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """Per document: largest marginal, log of the sum of those that matter, one."""
+    """Per document: largest marginal, logs of the sum of those that matter and of the number of tokens, one."""
     top = np.zeros(n)
     np.maximum.at(top, doc, m)
     total = np.bincount(doc, np.where(m > 0.1, m, 0), n)
-    return np.stack([top, np.log1p(total), np.ones(n)], 1)
+    return np.stack([top, np.log1p(total), np.log1p(np.bincount(doc, minlength=n)), np.ones(n)], 1)
 
 
 class Model:
@@ -151,7 +153,7 @@ class Model:
             d = y - m
             by_word = np.bincount(numbers, d, len(table))
             g = [
-                np.bincount(flat, np.repeat(by_word, OWN), WEIGHTS) - 0.01 * self.own,
+                np.bincount(flat, np.repeat(by_word, OWN), WEIGHTS) - 1.0 * self.own,
                 np.bincount(lefts, d * chains.has_left, WEIGHTS) - 0.5 * self.left,
                 np.bincount(rights, d * chains.has_right, WEIGHTS) - 0.5 * self.right,
                 seen - expected - 0.1 * self.joint,
@@ -164,11 +166,11 @@ class Model:
             self.joint, self.bias = self.joint + g[3], self.bias + g[4]
         m, _ = chains.marginals(chains.scores(*self.word_scores(table)), self.joint)
         x = summary(m, chains.doc, len(texts))
-        f = np.array([1.0, 1.0, -2.0])
+        ridge, f = np.array([0.5, 0.5, 0.5, 0.01]), np.array([1.0, 1.0, 0.0, -2.0])
         for _ in range(60):  # Newton's method, with a light ridge
             p = 1 / (1 + np.exp(-np.clip(x @ f, -30, 30)))
-            h = (x * (weights * p * (1 - p))[:, None]).T @ x + np.diag([0.5, 0.5, 0.01])
-            f = f + 0.5 * np.linalg.solve(h, x.T @ (weights * (labels - p)) - np.array([0.5, 0.5, 0.01]) * f)
+            h = (x * (weights * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+            f = f + 0.5 * np.linalg.solve(h, x.T @ (weights * (labels - p)) - ridge * f)
         self.final = f
         for k in ("own", "left", "right"):
             setattr(self, k, getattr(self, k).astype(np.float32))
@@ -176,7 +178,7 @@ class Model:
 
     @staticmethod
     def suspicious(table: np.ndarray, docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-        """Tokens with a feature in three toxic documents at least, 20 times likelier there, and too often for chance.
+        """Tokens with a feature in three toxic documents at least, ODDS times likelier there, and too often for chance.
 
         Chance: the likelihood ratio of the feature's share of toxic documents against theirs among all must be larger
         than the number of features tried.
@@ -189,7 +191,7 @@ class Model:
         share, total = n[1] / n.sum(), counts.sum(0)
         q = np.clip(counts[1] / np.maximum(total, 1), 1e-9, 1 - 1e-9)
         gain = total * (q * np.log(q / share) + (1 - q) * np.log((1 - q) / (1 - share)))
-        bad = (odds > 20) & (counts[1] >= 3) & (gain > np.log(max(1, (total > 0).sum())))
+        bad = (odds > ODDS) & (counts[1] >= 3) & (gain > np.log(max(1, (total > 0).sum())))
         bad[0] = False
         return bad[table].any(1)
 
