@@ -1,16 +1,20 @@
 """Personal data by rules, and beyond them by bootstrapped contexts, in Catalyst alone.
 
-Four kinds of entities have a fixed form and are found by regular expressions. They are the seeds: the words around
-them are lexical patterns. A pattern of SUPPORT distinct seeds is a slot, and whatever else stands in a slot is a
-candidate, of any form: every token, and every whole run of two or more digit groups with white space between. A group
-of less than six digits next to another group is a part of its run and no candidate by itself. Patterns and values form
-a graph. In each round a pattern's confidence is the mean confidence of all its distinct values, and a value's is the
-mean of its supported patterns; seeds stay at one. Candidates that end above the threshold, by two patterns at least and
-one of them of two words, become entities of the kind that their best pattern has most.
-
-Texts are never shuffled: distinct pattern-value edges leave the scan, so copies of a document add nothing to the graph.
-Values that can never get a confidence (one pattern, or none of two words) count in their patterns' means and take no
-part in the rounds.
+Seeds. Four kinds of entities have a fixed form and are found by regular expressions. A fifth kind, secret, has two sorts
+of seeds: keys of published forms, and long random-looking strings that are assigned to a name (other than those of public digests).
+
+Patterns. A value's patterns are lexical: the word before it, the two before it, the words on either side, the name that it is assigned
+to (name = value, name: "value"), and the form "assigned and random-looking". Words are whole, lie between white space,
+quotes, brackets and signs of assignment, and digit groups with single spaces between are one word.
+
+Graph. Distinct pattern-value edges form a graph. In each round a pattern is supported if SUPPORT of its values at least
+are seeds or found; its confidence is the mean confidence of all its distinct values, and a value's is the mean of its
+supported patterns. A value is found once it is at CONFIDENCE or above, with two supported patterns or one of STRONG
+known values; then it supports further patterns, such as another name that secrets are assigned to.
+
+Texts are never shuffled but those of documents with seeds or finds, where these are too many to broadcast their row
+numbers. Patterns of words that seeds stand in are counted over all documents first, and only those where seeds make up
+SHARE of all occurrences give edges, so no edge is made for a word after "of the".
 """
 
 from __future__ import annotations
@@ -20,8 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, Scratch
 
-#: Kinds in the order in which they are listed.
-KINDS = ["email", "ip", "card", "phone"]
+#: Kinds in the order in which they are listed; the first four are those of fixed form.
+KINDS = ["email", "ip", "card", "phone", "secret"]
+BASE, SECRET = KINDS[:4], 4
 #: Forms, as searched for: a run is only tried at its start, so that long runs cost linear time.
 FORMS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -31,31 +36,39 @@ FORMS = {
 }
 #: A text without this has no entity of the kind.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-#: A digit group, a run of them, and a text's units: runs and other tokens, each with the white space before it.
-GROUP = r"(?=[^\s0-9]*+[0-9])[0-9()+./-]++"
-RUN = r"(?=[0-9()+./-]++\s)" + GROUP + r"(?:\s++" + GROUP + r"(?=[,;:!?]*+(?!\S)))++[,;:!?]*+"
-TOKENS, UNITS = r"\s*+\S++", r"\s*+(?:" + RUN + r"|\S++)"
-#: Stands in kept texts before each word of a fixed entity. A token that has this noncharacter of its own is no candidate.
-MARK = "\ufdd0"
-BLANK = " \t\n\x0b\f\r"
-ROUNDS, SUPPORT, CONFIDENCE = 3, 3, 0.8
+#: Keys of published forms: access key ids and personal access tokens of two widely used services.
+KEY = r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36})(?![A-Za-z0-9_])"
+KEY_NEEDS = ["AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_"]
+#: An assigned random-looking string is a seed if it has so many signs and its name is none of those that say what a
+#: public digest or number is.
+LONG, PUBLIC = 32, "checksum commit digest etag hash id integrity md5 revision sha sha1 sha256 sha512 uuid version".split()
+#: A random-looking string: twelve signs or more, of them three digits and three letters at least.
+RANDOM = r"^(?=(?:[^0-9]*+[0-9]){3})(?=(?:[^A-Za-z]*+[A-Za-z]){3})[A-Za-z0-9+/_-]{12,}+$"
+#: What lies between words, with the marks that end a word before it and brackets that open the next one.
+SPACE = r"\s\"'<>{},;=:"
+BETWEEN = rf"[.!?)\]]*+[{SPACE}]++(?:[(\[]++(?![0-9]))?+"
+ASSIGNED = rf"(?<![A-Za-z0-9_.-])([A-Za-z_][A-Za-z0-9_.-]*+)[\"']?+[ \t]*+[=:][ \t]*+[\"']?+[(\[]*+([^{SPACE}]++)"
+#: Stand in kept texts before a fixed entity, and in place of a space inside a value. A text's own are read as spaces.
+MARK, JOIN = "\ufdd0", "\ufdd1"
+ROUNDS, SUPPORT, STRONG, SHARE, CONFIDENCE = 4, 3, 20, 0.05, 0.8
 SPAN = "array<struct<start: int, kind_no: int, end: int, value: string>>"
 
 
-def spans_of(text: Column, form: str, kind_no: int, needs: str | None = None) -> Column:
+def spans_of(text: Column, form: str | Column, kind_no: int | Column, needs: str | None = None) -> Column:
     """All matches of form with code-point places: what stands between them gives the places by its lengths."""
-    found, between = F.regexp_extract_all(text, F.lit(form), F.lit(0)), F.split(text, form)
+    form, kind_no = (x if isinstance(x, Column) else F.lit(x) for x in (form, kind_no))
+    found, between = F.regexp_extract_all(text, form, F.lit(0)), F.split(text, form)
     none = F.array().cast(SPAN)
     walk = F.aggregate(
         F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda m, b: F.struct(m.alias("m"), F.length(b).alias("gap"), F.length(m).alias("n"))),
         F.struct(F.lit(0).alias("at"), none.alias("out")),
         lambda acc, x: F.struct(
             (acc["at"] + x["gap"] + x["n"]).alias("at"),
-            F.array_append(acc["out"], F.struct((acc["at"] + x["gap"]).alias("start"), F.lit(kind_no).alias("kind_no"), (acc["at"] + x["gap"] + x["n"]).alias("end"), x["m"].alias("value"))).alias("out"),
+            F.array_append(acc["out"], F.struct((acc["at"] + x["gap"]).alias("start"), kind_no.alias("kind_no"), (acc["at"] + x["gap"] + x["n"]).alias("end"), x["m"].alias("value"))).alias("out"),
         ),
         lambda acc: acc["out"],
     )
-    guard = text.contains(needs) if needs else text.rlike(form)
+    guard = text.contains(needs) if needs else F.regexp_like(text, form)
     return F.when(guard, walk).otherwise(none)
 
 
@@ -91,156 +104,137 @@ def entities(text: Column) -> Column:
     def of(i: int, kind: str) -> Column:
         return F.filter(spans_of(text, FORMS[kind], i, NEEDS[kind]), lambda x: VALID[kind](x["value"]))
 
-    return F.array_sort(F.concat(*[of(i, kind) for i, kind in enumerate(KINDS)]))
-
-
-def near(text: Column) -> Column:
-    """Words of a stretch beside a slot; one empty word if there is none."""
-    return F.split(F.btrim(F.lower(text), F.lit(BLANK)), r"\s+")
-
-
-def patterns(left: Column, right: Column) -> Column:
-    """Lexical patterns of a slot, from the words of near(): the word before it, the two before it, the word after it."""
-    made = F.array(
-        F.when(F.element_at(left, -1) != "", F.concat(F.lit("L:"), F.element_at(left, -1))),
-        F.when(F.size(left) > 1, F.concat(F.lit("LL:"), F.array_join(F.slice(left, -2, 2), " "))),
-        F.when(F.element_at(right, 1) != "", F.concat(F.lit("R:"), F.element_at(right, 1))),
-    )
-    return F.array_compact(made)
-
-
-def around(text: Column, x: Column) -> Column:
-    before = F.substr(text, F.greatest(x["start"] - 80, F.lit(0)) + 1, F.least(x["start"], F.lit(80)))
-    return patterns(near(before), near(F.substr(text, x["end"] + 1, F.lit(60))))
+    return F.array_sort(F.concat(*[of(i, kind) for i, kind in enumerate(BASE)]))
 
 
 def marked(text: Column, base: Column) -> Column:
-    """text with MARK before each word of the spans in base."""
+    """text with MARK before each span in base, JOIN for white space inside it and a space on either side."""
+    plain = F.translate(text, MARK + JOIN, "  ")
+    piece = lambda x, at: F.translate(F.substr(plain, F.greatest(x["start"], at) + 1, x["end"] - F.greatest(x["start"], at)), " ", JOIN)
     done = F.aggregate(
         base,
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda acc, x: F.struct(
-            F.when(x["end"] <= acc["at"], acc["out"]).otherwise(
-                F.concat(
-                    acc["out"], F.substr(text, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))),
-                    F.regexp_replace(F.substr(text, F.greatest(x["start"], acc["at"]) + 1, x["end"] - F.greatest(x["start"], acc["at"])), r"(\S++)", MARK + "$1"),
-                )
-            ).alias("out"),
+            F.when(x["end"] <= acc["at"], acc["out"])
+            .otherwise(F.concat(acc["out"], F.substr(plain, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))), F.lit(" " + MARK), piece(x, acc["at"]), F.lit(" ")))
+            .alias("out"),
             F.greatest(acc["at"], x["end"]).alias("at"),
         ),
-        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))),
+        lambda acc: F.concat(acc["out"], F.substr(plain, acc["at"] + 1, F.length(text))),
     )
-    return F.when(F.size(base) > 0, done).otherwise(text)
-
-
-def bare(unit: Column) -> Column:
-    return F.ltrim(unit, F.lit(BLANK))
-
-
-def candidates(rows: DataFrame) -> DataFrame:
-    """(row, value, left, right) for each candidate of rows (row, text as marked() gives it)."""
-    tokens, units = F.regexp_extract_all("text", F.lit(TOKENS), F.lit(0)), F.regexp_extract_all("text", F.lit(UNITS), F.lit(0))
-    none = F.array().cast("array<string>")
-    rows = rows.select("row", tokens.alias("t"), F.when(F.col("text").rlike(r"(?<!\S)" + RUN), units).otherwise(none).alias("u"))
-    nothing = F.lit(None).cast("string")
-
-    def placed(c: str) -> Column:
-        near = [F.col(c), F.concat(F.array(nothing), c), F.concat(F.array(nothing, nothing), c), F.slice(c, F.lit(2), F.size(c))]
-        return F.arrays_zip(*[x.alias(n) for x, n in zip(near, ("x", "p", "pp", "n"), strict=True)])
-
-    whole = F.filter(placed("u"), lambda z: z["x"].rlike(r"\S\s"))
-    z = rows.select("row", F.explode(F.concat(placed("t"), whole)).alias("z")).select("row", "z.*")
-    clean = lambda c: F.translate(F.coalesce(c, F.lit("")), MARK, "")
-    value, gap = bare(F.col("x")), F.length("x") - F.length(bare(F.col("x")))
-    part = lambda c: F.coalesce(F.col(c), F.lit("")).rlike(r"^\s*+" + GROUP + r"[,;:!?]*+$")
-    digit = F.col("x").rlike("[0-9]")
-    inside = digit & part("x") & (F.length(digits(F.col("x"))) < 6) & (part("p") | part("n"))
-    z = z.where(F.col("x").isNotNull() & ~F.col("x").contains(MARK) & ~inside)
-    before = F.right(F.concat(clean(F.col("pp")), clean(F.col("p")), F.left("x", gap)), F.lit(80))
-    return z.select("row", value.alias("value"), near(before).alias("left"), near(F.left(clean(F.col("n")), F.lit(60))).alias("right"))
-
-
-def bootstrap(seen: DataFrame, others: DataFrame, scratch: Scratch) -> DataFrame:
-    """(value, found) of discovered values: seen (value, kind_no, pattern) are those of seeds, others (value, pattern) candidates'."""
-    seeds = scratch.keep(seen.distinct(), "seeds")
-    kinds = seeds.groupBy("pattern", "kind_no").agg(F.count_distinct("value").alias("n"))
-    kinds = kinds.groupBy("pattern").agg(F.sum("n").alias("support"), F.max_by("kind_no", F.struct("n", -F.col("kind_no"))).alias("kind"))
-    slots = scratch.keep(kinds.where(F.col("support") >= SUPPORT), "slots")
-    known = slots.select("pattern")
-    if slots.count() <= BROADCAST_ROWS // 10:
-        known = F.broadcast(known)
-    edges = scratch.keep(seeds.select("pattern", "value").unionByName(others.select("pattern", "value")).join(known, "pattern").distinct(), "edges")
-    fixed = seeds.select("value", F.lit(True).alias("seed")).distinct()
-    two = edges.where(F.col("pattern").startswith("LL:")).select("value").distinct()
-    live = edges.join(two, "value", "left_semi").groupBy("value").count().where("count >= 2").select("value")
-    live = live.unionByName(fixed.select("value")).distinct().join(fixed, "value", "left").select("value", F.coalesce("seed", F.lit(False)).alias("seed"))
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("size"))
-    graph = edges.join(live, "value").join(slots, "pattern").join(sizes, "pattern")
-    graph = scratch.keep(graph.withColumn("confidence", F.col("seed").cast("double")), "graph")
+    return F.when(F.size(base) > 0, done).otherwise(plain)
+
+
+def in_context(rows: DataFrame) -> DataFrame:
+    """(row, value, pattern) for each word of rows (row, text as marked() gives it) with its words before and around it."""
+    whole = F.concat(F.lit(" "), F.regexp_replace("text", r"(?<=[0-9)]) (?=[0-9(+])", JOIN), F.lit(" "))
+    words = rows.select("row", F.split(whole, BETWEEN).alias("w"))
+    of = lambda i: F.get("w", i)
+    each = F.transform("w", lambda w, i: F.struct(w.alias("value"), F.concat_ws(" ", F.lit("L"), of(i - 1)).alias("l"), F.concat_ws(" ", F.lit("LL"), of(i - 2), of(i - 1)).alias("ll"), F.concat_ws(" ", F.lit("LR"), of(i - 1), of(i + 1)).alias("lr")))
+    z = words.select("row", F.explode(each).alias("z")).where("z.value <> ''").select("row", "z.*")
+    z = z.select("row", "value", F.explode(F.array("l", "ll", "lr")).alias("pattern"))
+    return z.select("row", F.translate("value", MARK, "").alias("value"), F.lower(F.translate("pattern", MARK, "")).alias("pattern"))
+
+
+def assigned(text: Column) -> Column:
+    """(name, value) of what text assigns."""
+    plain = F.translate(text, MARK + JOIN, "  ")
+    both = [F.regexp_extract_all(plain, F.lit(ASSIGNED), F.lit(i)) for i in (1, 2)]
+    found = F.zip_with(*both, lambda n, v: F.struct(F.lower(n).alias("name"), F.rtrim(v, F.lit(".!?)]")).alias("value")))
+    return F.when(text.contains("=") | text.contains(":"), F.filter(found, lambda x: x["value"] != "")).otherwise(F.array().cast("array<struct<name: string, value: string>>"))
+
+
+def keys(text: Column) -> Column:
+    guard = F.lit(False)
+    for k in KEY_NEEDS:
+        guard = guard | text.contains(k)
+    return F.when(guard, F.regexp_extract_all(text, F.lit(KEY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+
+
+def small(df: DataFrame, n: int) -> DataFrame:
+    """df for a join, broadcast if it has so few rows that its size is bounded."""
+    return F.broadcast(df) if n <= BROADCAST_ROWS // 10 else df
+
+
+def bootstrap(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame:
+    """(value, kind) of the values found: edges (pattern, value) are distinct, seeds (value, kind) have one row a value."""
+    graph = edges.join(seeds.withColumn("seed", F.lit(True)), "value", "left")
+    graph = graph.select("pattern", "value", F.coalesce("seed", F.lit(False)).alias("seed"), "kind", F.col("seed").isNotNull().cast("double").alias("confidence"))
+    graph = scratch.keep(graph, "graph")
     for _ in range(ROUNDS):
-        scores = graph.groupBy("pattern").agg((F.sum("confidence") / F.max("size")).alias("p"))
-        scored = graph.drop("confidence", "p").join(scores, "pattern")
-        values = scored.groupBy("value").agg(F.avg("p").alias("v"))
-        step = scored.join(values, "value").withColumn("confidence", F.when(F.col("seed"), 1.0).otherwise(F.col("v")))
-        step = scratch.keep(step.drop("v"), "step")
+        known = lambda k: F.sum((F.col("kind") == k).cast("int"))
+        counts = graph.groupBy("pattern").agg(F.avg("confidence").alias("p"), F.coalesce(F.count("kind"), F.lit(0)).alias("support"), F.array(*[F.coalesce(known(k), F.lit(0)) for k in range(len(KINDS))]).alias("of"))
+        counts = scratch.keep(counts.where(F.col("support") >= SUPPORT).select("pattern", "p", "support", (F.array_position("of", F.array_max("of")) - 1).cast("int").alias("most")), "patterns")
+        scored = graph.where("not seed").join(small(counts, counts.count()), "pattern")
+        values = scored.groupBy("value").agg(F.avg("p").alias("v"), F.count("*").alias("n"), F.max("support").alias("most_support"), F.max_by("most", F.struct("p", "support", "pattern")).alias("k"))
+        sure = (F.col("v") >= CONFIDENCE) & ((F.col("n") >= 2) | (F.col("most_support") >= STRONG))
+        values = values.select("value", "v", F.when(sure, F.col("k")).alias("k"))
+        step = graph.join(values, "value", "left")
+        step = scratch.keep(
+            step.select("pattern", "value", "seed", F.when(F.col("seed"), F.col("kind")).otherwise(F.col("k")).alias("kind"), F.when(F.col("seed"), 1.0).otherwise(F.coalesce("v", F.lit(0.0))).alias("confidence")), "step"
+        )
         scratch.drop(graph)
         graph = step
-    good = graph.where(~F.col("seed") & (F.col("confidence") >= CONFIDENCE))
-    return scratch.keep(good.groupBy("value").agg(F.max_by("kind", F.struct("p", "support", "pattern")).alias("found")), "found")
-
-
-def located(text: Column, form: str, hits: Column) -> Column:
-    """Spans of the units of form in a marked text that are values of hits (value, found)."""
-    values = F.transform(hits, lambda h: h["value"])
-    return F.aggregate(
-        F.regexp_extract_all(text, F.lit(form), F.lit(0)),
-        F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
-        lambda acc, u: F.struct(
-            (acc["at"] + F.length(F.translate(u, MARK, ""))).alias("at"),
-            F.when(
-                F.array_contains(values, bare(u)),
-                F.array_append(
-                    acc["out"],
-                    F.struct(
-                        (acc["at"] + F.length(u) - F.length(bare(u))).alias("start"), F.element_at(hits, F.array_position(values, bare(u)).cast("int"))["found"].alias("kind_no"),
-                        (acc["at"] + F.length(u)).alias("end"), bare(u).alias("value"),
-                    ),
-                ),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+    return scratch.keep(graph.where("not seed and kind is not null").groupBy("value").agg(F.first("kind").alias("kind")), "found")
+
+
+def quoted(value: Column) -> Column:
+    """A form for value as a word by itself."""
+    text = F.translate(value, JOIN, " ")
+    return F.concat(F.lit(rf"(?<![^{SPACE}(\[])\Q"), F.replace(text, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(rf"\E(?=[.!?)\]]*+(?:[{SPACE}]|\z))"))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """(row, doc_id, base, spans) for every row of docs (doc_id, text): arrays of (start, kind_no, end, value), sorted.
 
-    base are the entities of fixed form; spans are these and the discovered ones, which overlap none of them. Places
-    are code points, end exclusive. A null text is empty; repeated rows have the same spans; other columns are ignored.
+    base are the entities of the four fixed forms; spans are these, the seeds of secrets and the found values, wherever
+    they stand as words in a document that has them in a pattern, unless they overlap one of base; of those that lie
+    inside one another the longest counts. Places are code points, end exclusive. A null text is empty; repeated rows
+    have the same spans; other columns are ignored; an empty table gives no rows. docs must give the same rows in the
+    same order each time it is read, as files do.
     """
     scratch = Scratch(docs.sparkSession, "pii")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text"))
-    rows = rows.withColumn("base", entities(F.col("text")))
-    seen = F.transform("base", lambda x: F.struct(x.alias("span"), around(F.col("text"), x).alias("patterns")))
-    rows = scratch.keep(rows.select("row", "doc_id", seen.alias("base"), marked(F.col("text"), F.col("base")).alias("text")), "spans")
-    seeds = rows.select(F.explode("base").alias("x")).select(F.col("x.span.value").alias("value"), F.col("x.span.kind_no").alias("kind_no"), F.explode("x.patterns").alias("pattern"))
-    tried = candidates(rows)
-    found = bootstrap(seeds, tried.select("value", F.explode(patterns(F.col("left"), F.col("right"))).alias("pattern")), scratch)
-    out = rows.select("row", "doc_id", F.col("base.span").alias("base"))
+    docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text"))
+    t = F.col("text")
+    rows = scratch.keep(docs.select("row", "doc_id", entities(t).alias("base"), keys(t).alias("keys"), assigned(t).alias("assigned")), "spans")
+    names = scratch.keep(rows.select("row", F.explode("assigned").alias("x")).select("row", "x.name", "x.value", (F.col("x.value").rlike(RANDOM) & ~F.col("x.name").isin(PUBLIC)).alias("random")), "assigned")
+    keyed = rows.select("row", F.explode("keys").alias("value"))
+    secret = names.where(F.col("random") & (F.length("value") >= LONG)).select("row", "value").unionByName(keyed).distinct()
+    secret = scratch.keep(secret, "secrets")
+    plain = rows.select(F.explode("base").alias("x")).select(F.translate("x.value", " ", JOIN).alias("value"), F.col("x.kind_no").alias("kind"))
+    seeds = scratch.keep(plain.unionByName(secret.select("value", F.lit(SECRET).alias("kind"))).groupBy("value").agg(F.min("kind").alias("kind")), "seeds")
+
+    # Patterns of words that seeds stand in, by the documents that have any.
+    with_base = rows.where(F.size("base") > 0).select("row", "base")
+    based = small(scratch.keep(with_base, "with_base"), with_base.count())
+    marks = docs.select("row", "text").join(based, "row", "left").select("row", marked(t, F.coalesce("base", F.array().cast(SPAN))).alias("text"))
+    seeded = scratch.keep(with_base.select("row").unionByName(secret.select("row")).distinct(), "seeded")
+    stands = in_context(marks.join(small(seeded, seeded.count()), "row", "left_semi")).join(small(seeds.select("value"), seeds.count()), "value")
+    stands = stands.groupBy("pattern", "value").agg(F.count("*").alias("times")).groupBy("pattern").agg(F.count("*").alias("support"), F.sum("times").alias("seeds"))
+    slots = scratch.keep(stands.where(F.col("support") >= SUPPORT).select("pattern", "seeds"), "slots")
+    n = slots.count()
+    edges = names.select(F.concat(F.lit("N "), "name").alias("pattern"), "value").unionByName(names.where("random").select(F.lit("F").alias("pattern"), "value"))
+    placed = names.select("row", "value")
+    if n:
+        whole = in_context(marks).join(small(slots, n), "pattern").groupBy("pattern", "seeds").agg(F.count("*").alias("times"))
+        slots = scratch.keep(whole.where(F.col("seeds") >= SHARE * F.col("times")).select("pattern"), "selective")
+        n = slots.count()
+    if n:
+        seen = scratch.keep(in_context(marks).join(small(slots, n), "pattern").distinct(), "seen")
+        edges, placed = edges.unionByName(seen.select("pattern", "value")), placed.unionByName(seen.select("row", "value"))
+    found = bootstrap(edges.distinct(), seeds, scratch)
+    hits = placed.join(small(found, found.count()), "value").unionByName(secret.select("value", "row", F.lit(SECRET).alias("kind")))
+    hits = scratch.keep(hits.groupBy("row").agg(F.collect_set(F.struct("value", "kind")).alias("hits")), "hits")
+    hits = small(hits, hits.count())
     none = F.array().cast(SPAN)
-    n = found.count()
-    if not n:
-        return out.withColumn("spans", F.concat("base", none))
-    hits = tried.select("row", "value").join(F.broadcast(found) if n <= BROADCAST_ROWS // 10 else found, "value")
-    hits = scratch.keep(hits.groupBy("row").agg(F.collect_set(F.struct("value", "found")).alias("hits")), "hits")
-    if hits.count() <= BROADCAST_ROWS // 10:
-        hits = F.broadcast(hits)
-    t, h = F.col("text"), F.col("hits")
-    more = rows.select("row", "text").join(hits, "row").select("row", F.array_distinct(F.concat(located(t, TOKENS, h), located(t, UNITS, h))).alias("more"))
+    more = docs.select("row", "text").join(hits, "row").select("row", F.flatten(F.transform("hits", lambda h: spans_of(t, quoted(h["value"]), h["kind"]))).alias("more"))
+    out = rows.select("row", "doc_id", "base").join(more, "row", "left").withColumn("more", F.coalesce("more", none))
+    clear = F.filter("more", lambda x: ~F.exists("base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
+    out = out.withColumn("more", clear)
     inner = lambda x: F.exists("more", lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]) & (y["end"] - y["start"] > x["end"] - x["start"]))
-    more = more.select("row", F.filter("more", lambda x: ~inner(x)).alias("more"))
-    return out.join(more, "row", "left").select("row", "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"))
+    more = F.array_distinct(F.filter("more", lambda x: ~inner(x)))
+    return out.select("row", "doc_id", "base", F.array_sort(F.concat("base", more)).alias("spans"))
 
 
 def span_list(spans: Column) -> Column:

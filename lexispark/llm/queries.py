@@ -149,11 +149,11 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN
 
 def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents: entities of fixed form, and identifiers discovered by their contexts."""
-    from .pii_bootstrap import KINDS, personal_data, span_list
+    from .pii_bootstrap import BASE, personal_data, span_list
 
     found = personal_data(table(spark, sf_dir, "documents"))
     count = lambda i: F.size(F.filter("base", lambda x: x["kind_no"] == i)).cast("long")
-    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(BASE)]
     return found.select("doc_id", *counts, F.sha2(span_list(F.col("base")), 256).alias("base_sha256"), span_list(F.col("spans")).alias("spans"))
 
 
