@@ -51,9 +51,10 @@ def match_count(similarity: float, k: int = K, miss: float = MISS) -> int:
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     """For each text, sorted distinct 64-bit hashes of its word n-grams; with fewer words, of the whole sequence; without any, none.
 
-    Arrow splits the words, and each distinct one is hashed once; nothing is kept from batch to batch.
+    Arrow splits the words, and each distinct one is hashed once; nothing is kept from batch to batch. (Lower case is not
+    taken of 64-bit strings: Arrow's kernel misreads slices of these.)
     """
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     words, bounds = parts.flatten(), parts.offsets.to_numpy() - parts.offsets[0].as_py()
     some = pc.not_equal(words, "").to_numpy(zero_copy_only=False)  # white space at an end leaves an empty word
     bounds = np.r_[0, np.cumsum(some)][bounds]

@@ -91,7 +91,7 @@ class WordTokenizer:
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts (no nulls), one after the other, and how many each has."""
-        parts = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = parts.flatten().dictionary_encode()
         pool, sizes = self.distinct(words.dictionary)
         at = words.indices.to_numpy()
