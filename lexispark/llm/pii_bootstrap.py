@@ -48,8 +48,8 @@ RANDOM = r"^(?=(?:[^0-9]*+[0-9]){3})(?=(?:[^A-Za-z]*+[A-Za-z]){3})[A-Za-z0-9+/_-
 SPACE = r"\s\"'<>{},;=:"
 BETWEEN = rf"[.!?)\]]*+[{SPACE}]++(?:[(\[]++(?![0-9]))?+"
 ASSIGNED = rf"(?<![A-Za-z0-9_.-])([A-Za-z_][A-Za-z0-9_.-]*+)[\"']?+[ \t]*+[=:][ \t]*+[\"']?+[(\[]*+([^{SPACE}]++)"
-#: Stand in kept texts before a fixed entity, and in place of a space inside a value. A text's own are read as spaces.
-MARK, JOIN = "\ufdd0", "\ufdd1"
+#: Stands in place of a space inside a value. A text's own is read as a space.
+JOIN = "\ufdd1"
 ROUNDS, SUPPORT, STRONG, SHARE, CONFIDENCE = 4, 3, 20, 0.05, 0.8
 SPAN = "array<struct<start: int, kind_no: int, end: int, value: string>>"
 
@@ -107,39 +107,49 @@ def entities(text: Column) -> Column:
     return F.array_sort(F.concat(*[of(i, kind) for i, kind in enumerate(BASE)]))
 
 
+def cleaned(text: Column) -> Column:
+    """text with a space for each JOIN of its own."""
+    return F.replace(text, F.lit(JOIN), F.lit(" "))
+
+
 def marked(text: Column, base: Column) -> Column:
-    """text with MARK before each span in base, JOIN for white space inside it and a space on either side."""
-    plain = F.translate(text, MARK + JOIN, "  ")
-    piece = lambda x, at: F.translate(F.substr(plain, F.greatest(x["start"], at) + 1, x["end"] - F.greatest(x["start"], at)), " ", JOIN)
+    """text with JOIN for white space inside each span in base and a space on either side of it."""
+    piece = lambda x, at: F.replace(F.substr(text, F.greatest(x["start"], at) + 1, x["end"] - F.greatest(x["start"], at)), F.lit(" "), F.lit(JOIN))
     done = F.aggregate(
         base,
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda acc, x: F.struct(
             F.when(x["end"] <= acc["at"], acc["out"])
-            .otherwise(F.concat(acc["out"], F.substr(plain, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))), F.lit(" " + MARK), piece(x, acc["at"]), F.lit(" ")))
+            .otherwise(F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))), F.lit(" "), piece(x, acc["at"]), F.lit(" ")))
             .alias("out"),
             F.greatest(acc["at"], x["end"]).alias("at"),
         ),
-        lambda acc: F.concat(acc["out"], F.substr(plain, acc["at"] + 1, F.length(text))),
+        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))),
     )
-    return F.when(F.size(base) > 0, done).otherwise(plain)
-
-
-def in_context(rows: DataFrame) -> DataFrame:
-    """(row, value, pattern) for each word of rows (row, text as marked() gives it) with its words before and around it."""
-    whole = F.concat(F.lit(" "), F.regexp_replace("text", r"(?<=[0-9)]) (?=[0-9(+])", JOIN), F.lit(" "))
-    words = rows.select("row", F.split(whole, BETWEEN).alias("w"))
-    of = lambda i: F.get("w", i)
-    each = F.transform("w", lambda w, i: F.struct(w.alias("value"), F.concat_ws(" ", F.lit("L"), of(i - 1)).alias("l"), F.concat_ws(" ", F.lit("LL"), of(i - 2), of(i - 1)).alias("ll"), F.concat_ws(" ", F.lit("LR"), of(i - 1), of(i + 1)).alias("lr")))
-    z = words.select("row", F.explode(each).alias("z")).where("z.value <> ''").select("row", "z.*")
-    z = z.select("row", "value", F.explode(F.array("l", "ll", "lr")).alias("pattern"))
-    return z.select("row", F.translate("value", MARK, "").alias("value"), F.lower(F.translate("pattern", MARK, "")).alias("pattern"))
+    return F.when(F.size(base) > 0, done).otherwise(text)
+
+
+def in_context(rows: DataFrame, values: bool = True) -> DataFrame:
+    """(row, value, pattern) for each word of rows (row, text as marked() gives it): the word before it, the two before it,
+    the words on either side. Without values (pattern) alone."""
+    whole = F.concat(F.lit(" "), F.regexp_replace("text", r" (?<=[0-9)] )(?=[0-9(+])", JOIN), F.lit(" "))
+    # A text and its lower case have their spaces at the same words.
+    lower = F.split(F.lower(whole), BETWEEN).alias("l")
+    words = rows.select("row", F.split(whole, BETWEEN).alias("w"), lower) if values else rows.select(lower)
+    of = lambda i: F.get("l", i)
+    shapes = lambda i: [F.concat(F.lit("L "), of(i - 1)), F.concat(F.lit("LL "), of(i - 2), F.lit(" "), of(i - 1)), F.concat(F.lit("LR "), of(i - 1), F.lit(" "), of(i + 1))]
+    # What stands before the first word and after the last one is empty.
+    inner = lambda c: F.slice(c, F.lit(1), F.size(c) - 1)
+    if not values:
+        z = words.select(F.explode(F.transform(inner("l"), lambda w, i: F.struct(*[x.alias(n) for x, n in zip(shapes(i), ("l", "ll", "lr"), strict=True)], i.alias("i")))).alias("z"))
+        return z.where("z.i > 0").select(F.explode(F.array("z.l", "z.ll", "z.lr")).alias("pattern"))
+    z = words.select("row", F.explode(F.transform(inner("w"), lambda w, i: F.struct(w.alias("value"), *[x.alias(n) for x, n in zip(shapes(i), ("l", "ll", "lr"), strict=True)]))).alias("z"))
+    return z.where("z.value <> ''").select("row", "z.value", F.explode(F.array("z.l", "z.ll", "z.lr")).alias("pattern"))
 
 
 def assigned(text: Column) -> Column:
     """(name, value) of what text assigns."""
-    plain = F.translate(text, MARK + JOIN, "  ")
-    both = [F.regexp_extract_all(plain, F.lit(ASSIGNED), F.lit(i)) for i in (1, 2)]
+    both = [F.regexp_extract_all(text, F.lit(ASSIGNED), F.lit(i)) for i in (1, 2)]
     found = F.zip_with(*both, lambda n, v: F.struct(F.lower(n).alias("name"), F.rtrim(v, F.lit(".!?)]")).alias("value")))
     return F.when(text.contains("=") | text.contains(":"), F.filter(found, lambda x: x["value"] != "")).otherwise(F.array().cast("array<struct<name: string, value: string>>"))
 
@@ -180,7 +190,7 @@ def bootstrap(edges: DataFrame, seeds: DataFrame, scratch: Scratch) -> DataFrame
 
 def quoted(value: Column) -> Column:
     """A form for value as a word by itself."""
-    text = F.translate(value, JOIN, " ")
+    text = F.replace(value, F.lit(JOIN), F.lit(" "))
     return F.concat(F.lit(rf"(?<![^{SPACE}(\[])\Q"), F.replace(text, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit(rf"\E(?=[.!?)\]]*+(?:[{SPACE}]|\z))"))
 
 
@@ -194,7 +204,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     same order each time it is read, as files do.
     """
     scratch = Scratch(docs.sparkSession, "pii")
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = cleaned(F.coalesce(F.col("text"), F.lit("")))
     docs = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text"))
     t = F.col("text")
     rows = scratch.keep(docs.select("row", "doc_id", entities(t).alias("base"), keys(t).alias("keys"), assigned(t).alias("assigned")), "spans")
@@ -202,7 +212,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     keyed = rows.select("row", F.explode("keys").alias("value"))
     secret = names.where(F.col("random") & (F.length("value") >= LONG)).select("row", "value").unionByName(keyed).distinct()
     secret = scratch.keep(secret, "secrets")
-    plain = rows.select(F.explode("base").alias("x")).select(F.translate("x.value", " ", JOIN).alias("value"), F.col("x.kind_no").alias("kind"))
+    plain = rows.select(F.explode("base").alias("x")).select(F.replace("x.value", F.lit(" "), F.lit(JOIN)).alias("value"), F.col("x.kind_no").alias("kind"))
     seeds = scratch.keep(plain.unionByName(secret.select("value", F.lit(SECRET).alias("kind"))).groupBy("value").agg(F.min("kind").alias("kind")), "seeds")
 
     # Patterns of words that seeds stand in, by the documents that have any.
@@ -217,7 +227,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     edges = names.select(F.concat(F.lit("N "), "name").alias("pattern"), "value").unionByName(names.where("random").select(F.lit("F").alias("pattern"), "value"))
     placed = names.select("row", "value")
     if n:
-        whole = in_context(marks).join(small(slots, n), "pattern").groupBy("pattern", "seeds").agg(F.count("*").alias("times"))
+        whole = in_context(marks, values=False).join(small(slots, n), "pattern").groupBy("pattern", "seeds").agg(F.count("*").alias("times"))
         slots = scratch.keep(whole.where(F.col("seeds") >= SHARE * F.col("times")).select("pattern"), "selective")
         n = slots.count()
     if n:
