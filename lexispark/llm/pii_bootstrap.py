@@ -129,22 +129,22 @@ def marked(text: Column, base: Column) -> Column:
     return F.when(F.size(base) > 0, done).otherwise(text)
 
 
-def in_context(rows: DataFrame, values: bool = True) -> DataFrame:
-    """(row, value, pattern) for each word of rows (row, text as marked() gives it): the word before it, the two before it,
-    the words on either side. Without values (pattern) alone."""
+def in_context(rows: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
+    """(row, value, before, pattern) for each word of rows (row, text as marked() gives it): the word before it, the two
+    before it, the words on either side. Only for words after one of anchors (before), if these are given."""
     whole = F.concat(F.lit(" "), F.regexp_replace("text", r" (?<=[0-9)] )(?=[0-9(+])", JOIN), F.lit(" "))
-    # A text and its lower case have their spaces at the same words.
-    lower = F.split(F.lower(whole), BETWEEN).alias("l")
-    words = rows.select("row", F.split(whole, BETWEEN).alias("w"), lower) if values else rows.select(lower)
-    of = lambda i: F.get("l", i)
-    shapes = lambda i: [F.concat(F.lit("L "), of(i - 1)), F.concat(F.lit("LL "), of(i - 2), F.lit(" "), of(i - 1)), F.concat(F.lit("LR "), of(i - 1), F.lit(" "), of(i + 1))]
-    # What stands before the first word and after the last one is empty.
-    inner = lambda c: F.slice(c, F.lit(1), F.size(c) - 1)
-    if not values:
-        z = words.select(F.explode(F.transform(inner("l"), lambda w, i: F.struct(*[x.alias(n) for x, n in zip(shapes(i), ("l", "ll", "lr"), strict=True)], i.alias("i")))).alias("z"))
-        return z.where("z.i > 0").select(F.explode(F.array("z.l", "z.ll", "z.lr")).alias("pattern"))
-    z = words.select("row", F.explode(F.transform(inner("w"), lambda w, i: F.struct(w.alias("value"), *[x.alias(n) for x, n in zip(shapes(i), ("l", "ll", "lr"), strict=True)]))).alias("z"))
-    return z.where("z.value <> ''").select("row", "z.value", F.explode(F.array("z.l", "z.ll", "z.lr")).alias("pattern"))
+    # A text and its lower case have their spaces at the same words; what is before the first word and after the last is empty.
+    words = rows.select("row", F.split(whole, BETWEEN).alias("w"), F.split(F.lower(whole), BETWEEN).alias("l"))
+    k = F.size("l") - 2
+    part = lambda c, i: F.slice(c, F.lit(i), k)
+    zipped = F.arrays_zip(
+        F.concat(F.array(F.lit("")), F.slice("l", F.lit(1), k - 1)).alias("earlier"), part("l", 1).alias("before"), part("w", 2).alias("value"), part("l", 3).alias("after")
+    )
+    z = words.where(k > 0).select("row", F.explode(zipped).alias("z")).select("row", "z.*")
+    if anchors is not None:
+        z = z.join(anchors, "before")
+    shapes = [F.concat(F.lit("L "), "before"), F.concat(F.lit("LL "), "earlier", F.lit(" "), "before"), F.concat(F.lit("LR "), "before", F.lit(" "), "after")]
+    return z.select("row", "value", "before", F.explode(F.array(*shapes)).alias("pattern"))
 
 
 def assigned(text: Column) -> Column:
@@ -221,17 +221,24 @@ def personal_data(docs: DataFrame) -> DataFrame:
     marks = docs.select("row", "text").join(based, "row", "left").select("row", marked(t, F.coalesce("base", F.array().cast(SPAN))).alias("text"))
     seeded = scratch.keep(with_base.select("row").unionByName(secret.select("row")).distinct(), "seeded")
     stands = in_context(marks.join(small(seeded, seeded.count()), "row", "left_semi")).join(small(seeds.select("value"), seeds.count()), "value")
-    stands = stands.groupBy("pattern", "value").agg(F.count("*").alias("times")).groupBy("pattern").agg(F.count("*").alias("support"), F.sum("times").alias("seeds"))
-    slots = scratch.keep(stands.where(F.col("support") >= SUPPORT).select("pattern", "seeds"), "slots")
+    stands = stands.groupBy("before", "pattern", "value").agg(F.count("*").alias("times"))
+    stands = stands.groupBy("before", "pattern").agg(F.count("*").alias("support"), F.sum("times").alias("seeds"))
+    slots = scratch.keep(stands.where(F.col("support") >= SUPPORT).select("before", "pattern", "seeds"), "slots")
+
+    def standing(slots: DataFrame, n: int) -> DataFrame:
+        """in_context() of all documents for the patterns of slots."""
+        anchors = small(scratch.keep(slots.select("before").distinct(), "anchors"), n)
+        return in_context(marks, anchors).drop("before").join(small(slots.drop("before"), n), "pattern")
+
     n = slots.count()
     edges = names.select(F.concat(F.lit("N "), "name").alias("pattern"), "value").unionByName(names.where("random").select(F.lit("F").alias("pattern"), "value"))
     placed = names.select("row", "value")
     if n:
-        whole = in_context(marks, values=False).join(small(slots, n), "pattern").groupBy("pattern", "seeds").agg(F.count("*").alias("times"))
-        slots = scratch.keep(whole.where(F.col("seeds") >= SHARE * F.col("times")).select("pattern"), "selective")
+        whole = standing(slots, n).groupBy("pattern", "seeds").agg(F.count("*").alias("times")).where(F.col("seeds") >= SHARE * F.col("times"))
+        slots = scratch.keep(slots.join(whole.select("pattern"), "pattern", "left_semi"), "selective")
         n = slots.count()
     if n:
-        seen = scratch.keep(in_context(marks).join(small(slots, n), "pattern").distinct(), "seen")
+        seen = scratch.keep(standing(slots, n).select("row", "pattern", "value").distinct(), "seen")
         edges, placed = edges.unionByName(seen.select("pattern", "value")), placed.unionByName(seen.select("row", "value"))
     found = bootstrap(edges.distinct(), seeds, scratch)
     hits = placed.join(small(found, found.count()), "value").unionByName(secret.select("value", "row", F.lit(SECRET).alias("kind")))
