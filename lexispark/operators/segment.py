@@ -29,10 +29,12 @@ def token_array(sentence: Column) -> Column:
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.struct(F.lit("---").alias("form"), F.lit(False).alias("space"))))
 
 
-def tokens(sents: DataFrame, *keys: str) -> DataFrame:
-    """Long view (keys, sent_no, id from 1, form, space)."""
-    out = sents.select(*keys, "sent_no", F.posexplode(token_array(F.col("sentence"))).alias("id", "t"))
-    return out.select(*keys, "sent_no", (F.col("id") + 1).alias("id"), "t.form", "t.space")
+def tokens(sents: DataFrame, *keys: str, sized: bool = False) -> DataFrame:
+    """Long view (keys, sent_no, id from 1, form, space), sized: with the number of the sentence's tokens (size)."""
+    rows = sents.select(*keys, "sent_no", token_array(F.col("sentence")).alias("ts"))
+    size = [F.size("ts").cast("long").alias("size")] if sized else []
+    out = rows.select(*keys, "sent_no", *size, F.posexplode("ts").alias("id", "t"))
+    return out.select(*keys, "sent_no", (F.col("id") + 1).alias("id"), "t.form", "t.space", *(["size"] if sized else []))
 
 
 def segmented(docs: DataFrame, *keys: str) -> DataFrame:

@@ -34,7 +34,7 @@ def toks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate.StructuralAnnotator().transform(toks(spark, sf_dir))
+    return annotate.StructuralAnnotator().transform(segment.tokens(sents(spark, sf_dir), "doc_id", sized=True))
 
 
 SENTS = """sents AS (
@@ -71,7 +71,7 @@ t2 AS (
   SELECT *, CASE WHEN upos IN ('VERB', 'AUX') THEN {_pick(annotate.VERBS, "id + n")}
                  WHEN upos IN ('CCONJ', 'ADP') OR deprel IN ('case', 'advmod') THEN {_pick(annotate.PARTICLES, "id * 3 + n")}
                  ELSE lower(form) END AS lemma FROM t1),
-t AS (
+t AS MATERIALIZED (
   SELECT doc_id, sent_no, id, CASE WHEN lemma IN {_in(annotate.PARTICLES)} THEN lemma ELSE form END AS form, lemma, upos, deprel, kase, verb_form, head FROM t2),
 k AS (
   SELECT doc_id, sent_no, head AS id, max(deprel = 'case') AS c_case, max(deprel = 'cop') AS c_cop,
@@ -92,7 +92,7 @@ f AS (
 c AS (
   SELECT f.*, f.c_mehr OR m.id IS NOT NULL AS comparative
   FROM f LEFT JOIN (SELECT DISTINCT doc_id, sent_no, head AS id FROM f WHERE head > 0 AND c_mehr) m USING (doc_id, sent_no, id)),
-e AS (
+e AS MATERIALIZED (
   SELECT d.*, h.upos AS h_upos, h.deprel AS h_deprel, h.lemma AS h_lemma, h.head AS h_head, h.c_cop AS h_cop, h.c_copula AS h_copula, h.c_case AS h_case,
          h.c_passive AS h_passive, h.comparative AS h_comparative, h.c_subjects AS h_subjects, h.c_subject AS h_subject, g.upos AS g_upos
   FROM c d JOIN c h ON d.doc_id = h.doc_id AND d.sent_no = h.sent_no AND d.head = h.id AND d.head > 0
@@ -101,7 +101,7 @@ p AS (
   SELECT *, h_upos = 'VERB' AND NOT (upos = 'VERB' AND verb_form IN ('Fin', 'Part') AND c_aux) AS opened,
          upos = 'NOUN' AND deprel = 'obl' AND h_lemma IN {_in(relations.VERBS_ALS_NOUN + relations.VERBS_ALS_ADJ)} AS case1,
          upos IN ('ADJ', 'VERB') AND deprel IN ('advcl', 'xcomp') AND h_lemma IN {_in(relations.VERBS_ALS_ADJ)} AS case2 FROM e),
-q AS (SELECT *, opened AND NOT ((case1 OR case2) AND h_comparative) AS later FROM p)"""
+q AS MATERIALIZED (SELECT *, opened AND NOT ((case1 OR case2) AND h_comparative) AS later FROM p)"""
 
 _OBJECT = "h_upos = 'VERB' AND deprel IN ('obj', 'obl:arg') AND upos = 'NOUN' AND NOT c_case"
 _ACC = "deprel = 'obj' AND (NOT (kase IN ('Dat', 'Gen') OR c_oblique) OR kase = 'Acc')"
@@ -146,7 +146,7 @@ def relation_sql(names: list[str]) -> str:
 
 def relation(name: str):  # noqa: ANN201
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return relations.collocations(trees(spark, sf_dir), *KEYS).where(F.col("rel") == name)
+        return relations.collocations(trees(spark, sf_dir), *KEYS, names=[name])
 
     return query
 
@@ -290,7 +290,7 @@ UNION SELECT doc_id, CAST(sent_no AS INTEGER), CAST(t.id AS INTEGER), 'c#' || lo
 FROM r JOIN t a USING (doc_id, sent_no) JOIN t b USING (doc_id, sent_no) JOIN t USING (doc_id, sent_no) WHERE a.id = n1 AND b.id = n2 AND t.id IN (n1, n2)""")
 def collocation_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = trees(spark, sf_dir)
-    found = relations.collocations(t, *KEYS).where(F.col("rel").isin("ADV", "SUBJA"))
+    found = relations.collocations(t, *KEYS, names=["ADV", "SUBJA"])
     return index.collocation_postings(found, t.select(*KEYS, "id", "lemma"), *KEYS).select(*KEYS, "id", "term")
 
 
