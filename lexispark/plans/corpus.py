@@ -25,8 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """rows for work that costs more than moving them: a table of fewer scan tasks than cores (files of one row group
+    make one task, however many cores wait) is dealt by key first; a larger one stays as it is scanned."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(4 * cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def sents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment.sentences(table(spark, sf_dir, "documents"), "doc_id")
+    return segment.sentences(docs(spark, sf_dir), "doc_id")
 
 
 def toks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +200,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.sentences import text
 
-    return segment.segmented(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "sent_no", text(F.col("tokens")).alias("text"))
+    return segment.segmented(docs(spark, sf_dir), "doc_id").select("doc_id", "sent_no", text(F.col("tokens")).alias("text"))
 
 
 @query(f"""WITH {TOKS} SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no,
@@ -198,7 +209,7 @@ FROM toks GROUP BY doc_id, sent_no HAVING count(*) FILTER (form IN ('the', 'der'
 def marked_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.sentences import marked_text
 
-    rows = segment.segmented(table(spark, sf_dir, "documents"), "doc_id")
+    rows = segment.segmented(docs(spark, sf_dir), "doc_id")
     hits = F.transform(F.filter("tokens", lambda t: t["form"].isin("the", "der", "la")), lambda t: t["id"])
     return rows.withColumn("hits", hits).where(F.size("hits") > 0).select("doc_id", "sent_no", marked_text(F.col("tokens"), F.col("hits")).alias("marked"))
 
@@ -418,7 +429,7 @@ n AS (SELECT doc_id, s.lang, count(*) AS n FROM w JOIN s USING (word) GROUP BY d
 SELECT doc_id, lang AS found, n AS score FROM n QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, lang DESC) = 1""")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = spark.createDataFrame(STOP_WORDS, "lang string, word string")
-    return annotate.language(table(spark, sf_dir, "documents"), profile, "doc_id").withColumnRenamed("lang", "found")
+    return annotate.language(docs(spark, sf_dir), profile, "doc_id").withColumnRenamed("lang", "found")
 
 
 @query(f"""WITH {TREES} SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, round(CASE WHEN count(*) BETWEEN 6 AND 25 THEN 0.4 ELSE 0.0 END
@@ -450,7 +461,7 @@ def example_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {TOKS} SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, CAST(count(*) AS INTEGER) AS n, string_agg(form, ' ' ORDER BY id) AS forms FROM toks GROUP BY doc_id, sent_no")
 def conllu_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences written as CoNLL-U text and parsed again."""
-    rows = segment.segmented(table(spark, sf_dir, "documents"), "doc_id")
+    rows = segment.segmented(docs(spark, sf_dir), "doc_id")
     meta = F.create_map(F.lit("sent_id"), F.col("sent_no").cast("string"), F.lit("empty"), F.lit(""))
     text = rows.select("doc_id", conllu.serialize(meta, F.col("tokens")).alias("block"), F.lit(0).alias("pos"))
     back = conllu.parse(text, "doc_id")
