@@ -14,7 +14,8 @@ GOOD = 0.5
 def fields(sentences: DataFrame) -> DataFrame:
     """One record for each sentence (doc_id, sent_no, par_no, gdex, lang, meta): its own fields and its document's.
 
-    Document fields come from the document's first sentence; null and empty ones are left out of the map.
+    Document fields come from the document's first sentence; null and empty ones are left out of the map. A sentence
+    without a score has neither gdex_f nor gdex_b.
     """
     first = F.first("meta").over(W.partitionBy("doc_id").orderBy("sent_no"))
     names = {"doc_s": "newdoc id", "bibl_s": "bibl", "url_s": "url", "year_i": "year", "date_dt": "date", "accessed_dt": "accessed", "country_s": "country", "metaarea_s": "metaarea", "area_s": "area", "subarea_s": "subarea"}
@@ -22,7 +23,7 @@ def fields(sentences: DataFrame) -> DataFrame:
     classes = F.from_json(F.coalesce(F.try_element_at(first, F.lit("textClass")), F.try_element_at(first, F.lit("textClasses"))), "array<string>")
     return sentences.select(
         F.concat_ws("#", "doc_id", "sent_no").alias("id"), F.col("par_no").alias("p_i"), F.col("sent_no").alias("s_i"), F.col("gdex").alias("gdex_f"),
-        (F.coalesce("gdex", F.lit(0.0)) >= GOOD).alias("gdex_b"), F.col("lang").alias("lang_s"),
+        (F.col("gdex") >= GOOD).alias("gdex_b"), F.col("lang").alias("lang_s"),
         F.map_filter(doc, lambda k, v: F.coalesce(v, F.lit("")) != "").alias("fields"), classes.alias("text_class_ss"),
     )
 
@@ -35,18 +36,18 @@ def offsets(tokens: DataFrame, *keys: str) -> DataFrame:
 
 
 def postings(tokens: DataFrame, *keys: str) -> DataFrame:
-    """(keys, id, term): #lemma, p#upos#lemma and p#xpos#lemma of every token with a lemma."""
+    """(keys, id, term): #lemma, p#upos#lemma and p#xpos#lemma of every token with a lemma; tags in lower case."""
     lemma = F.coalesce("lemma_text", "lemma") if "lemma_text" in tokens.columns else F.col("lemma")
-    terms = [F.concat(F.lit("#"), lemma), F.concat_ws("#", F.lit("p"), "upos", lemma)]
+    terms = [F.concat(F.lit("#"), lemma), F.concat(F.lit("p#"), F.lower("upos"), F.lit("#"), lemma)]
     if "xpos" in tokens.columns:
-        terms.append(F.when(F.col("xpos").isNotNull(), F.concat_ws("#", F.lit("p"), "xpos", lemma)))
+        terms.append(F.when(F.col("xpos").isNotNull(), F.concat(F.lit("p#"), F.lower("xpos"), F.lit("#"), lemma)))
     return tokens.select(*keys, "id", F.explode(F.array_distinct(F.array_compact(F.array(*terms)))).alias("term"))
 
 
 def entity_postings(entities: DataFrame, tokens: DataFrame, *keys: str) -> DataFrame:
-    """e#lemma and e#LABEL#lemma for tokens of entities (keys, label, id)."""
+    """e#lemma and e#label#lemma for tokens of entities (keys, label, id), the label as it is."""
     rows = entities.join(tokens.select(*keys, "id", "lemma"), [*keys, "id"])
-    terms = F.array(F.concat_ws("#", F.lit("e"), "lemma"), F.concat_ws("#", F.lit("e"), F.upper("label"), "lemma"))
+    terms = F.array(F.concat_ws("#", F.lit("e"), "lemma"), F.concat_ws("#", F.lit("e"), "label", "lemma"))
     return rows.select(*keys, "id", F.explode(terms).alias("term"))
 
 

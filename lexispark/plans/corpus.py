@@ -313,7 +313,7 @@ def collocation_postings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {TREES} SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, CAST(id AS INTEGER) AS id, '#' || lemma AS term FROM t
-UNION ALL SELECT doc_id, CAST(sent_no AS INTEGER), CAST(id AS INTEGER), 'p#' || upos || '#' || lemma FROM t""")
+UNION ALL SELECT doc_id, CAST(sent_no AS INTEGER), CAST(id AS INTEGER), 'p#' || lower(upos) || '#' || lemma FROM t""")
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.postings(trees(spark, sf_dir), *KEYS)
 

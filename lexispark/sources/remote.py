@@ -1,12 +1,15 @@
 """Remote corpora as Python data sources: a line-length socket protocol and a paged REST service.
 
 spark.dataSource.register(SocketCorpus); spark.read.format("socketcorpus").option("endpoint", "host:port")... A request
-that fails or times out leaves its partition empty. Each collection is one input partition.
+that fails or times out ends its partition with a logged warning, or fails the job with option failOnError = true. Each
+collection is one input partition.
 """
 
 from __future__ import annotations
 
+import base64
 import json
+import logging
 import re
 import socket
 import struct
@@ -20,8 +23,16 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 SCHEMA = (
     "collection string, doc_id string, bibl string, date string, year int, country string, availability string, "
     "text_classes array<string>, topics array<string>, forms array<string>, lemmas array<string>, tags array<string>, "
-    "spaces array<boolean>, hits array<int>"
+    "spaces array<boolean>, hits array<int>, originals array<string>, norms array<string>"
 )
+log = logging.getLogger(__name__)
+
+
+def failed(options: dict, what: str, error: Exception) -> None:
+    """A request failed: the partition ends here, said aloud, or the error goes on where failOnError asks for it."""
+    if str(options.get("failOnError", "false")).lower() == "true":
+        raise error
+    log.warning("%s: incomplete, a request failed: %s", what, error)
 
 
 def socket_request(endpoint: tuple[str, int], command: str, timeout: float) -> dict:
@@ -53,13 +64,13 @@ def hit_row(hit: dict) -> tuple:
     tokens = [dict(zip(names, t if isinstance(t, list) else t.get("values", []), strict=True)) for t in (x[1:] if isinstance(x, list) else x for x in hit["ctx_"][1])]
     flags = [x[0] if isinstance(x, list) else 0 for x in hit["ctx_"][1]]
     get = lambda k: [t.get(k) for t in tokens]
-    spaces = [tokens[i + 1].get("ws") != "0" if i + 1 < len(tokens) else False for i in range(len(tokens))]
+    spaces = [i + 1 < len(tokens) and tokens[i + 1].get("ws") == "1" for i in range(len(tokens))]
     day = meta.get("date_") or ""
     classes = sorted(x.strip() for x in (meta.get("textClass") or "").split(":") if x.strip()) or None
     return (
-        meta.get("collection"), f"urn:ddc:{meta.get('collection')}:{meta.get('basename')}", meta.get("bibl"), day if re.fullmatch(r"\d{4}-\d\d-\d\d", day) else None,
+        meta.get("collection"), f"urn:ddc:{meta.get('collection')}/{meta.get('basename')}", meta.get("bibl"), day if re.fullmatch(r"\d{4}-\d\d-\d\d", day) else None,
         int(day[:4]) if re.match(r"\d{4}", day) else None, meta.get("country"), meta.get("avail"), classes, None,
-        get("w"), get("l"), get("p"), spaces, [i for i, f in enumerate(flags, 1) if f],
+        [w or "---" for w in get("w")], get("l"), get("p"), spaces, [i for i, f in enumerate(flags, 1) if f == 1], [x or None for x in get("u")], [x or None for x in get("v")],
     )
 
 
@@ -98,8 +109,8 @@ class SocketReader(DataSourceReader):
                 offset += len(got.get("hits_", []))
                 if not got.get("hits_") or offset >= got["nhits_"] or 0 < limit <= offset:
                     return
-        except (OSError, ValueError):
-            return
+        except (OSError, ValueError) as e:
+            failed(self.options, partition.collection, e)
 
 
 class SocketCorpus(DataSource):
@@ -131,12 +142,20 @@ def parse_snippet(snippet: str) -> tuple[str, list[tuple[int, int]]]:
     return "".join(out), marks
 
 
+def shown_date(day: str | None) -> str | None:
+    """dd.mm.YYYY of a full date; of anything else its leading year, if it has one."""
+    m = re.match(r"(\d{4})(?:-(\d\d)-(\d\d)$)?", day or "")
+    return None if not m else ".".join((m[3], m[2], m[1])) if m[2] else m[1]
+
+
 def bibl(match: dict) -> str | None:
     """author: title. subtitle, corpus, place, date, joined by full stops; a stop after another mark is dropped."""
-    title = ". ".join(x for x in (match.get("title"), match.get("subTitle")) if x)
-    lead = ": ".join(x for x in (match.get("author"), title) if x)
-    joined = ". ".join(x for x in (lead, match.get("corpusTitle"), match.get("pubPlace"), match.get("pubDate")) if x)
-    return re.sub(r"([!,\-./:;?\[\]{}])\.", r"\1", joined) or None
+    norm = lambda x: (x or "").strip() or None
+    single = lambda x: re.sub(r"([!,\-./:;?\[\]{}])\.", r"\1", x)
+    title = single(". ".join(x for x in (norm(match.get("title")), norm(match.get("subTitle"))) if x))
+    lead = ": ".join(x for x in (norm(match.get("author")), title) if x)
+    parts = (lead, norm(match.get("corpusTitle")), norm(match.get("pubPlace")), shown_date(match.get("pubDate")))
+    return single(". ".join(x for x in parts if x)) or None
 
 
 def match_row(collection: str, match: dict) -> tuple:
@@ -146,9 +165,9 @@ def match_row(collection: str, match: dict) -> tuple:
     day = match.get("pubDate") or ""
     split = lambda k: sorted(x for x in re.split(r"[:\s]", match.get(k) or "") if x) or None
     return (
-        collection, f"urn:korap:{collection}:{match.get('textSigle')}", bibl(match), day if re.fullmatch(r"\d{4}-\d\d-\d\d", day) else None,
-        int(day[:4]) if re.match(r"\d{4}", day) else None, match.get("pubPlaceKey"), match.get("availability"), split("textClass"), split("topics"),
-        [t for t, _, _ in tokens], None, None, [b < len(text) and text[b].isspace() for _, _, b in tokens], hits,
+        collection, f"urn:korap:{collection}/{match.get('textSigle')}", bibl(match), day if re.fullmatch(r"\d{4}-\d\d-\d\d", day) else None,
+        int(day[:4]) if re.match(r"\d{4}", day) else None, match.get("pubPlaceKey"), match.get("availability"), split("textType"), split("textClass"),
+        [t for t, _, _ in tokens], None, None, [b < len(text) and text[b].isspace() for _, _, b in tokens], hits, None, None,
     )
 
 
@@ -164,8 +183,8 @@ class RestReader(DataSourceReader):
     def read(self, partition: Part) -> Iterator[tuple]:
         page, calls, most = int(self.options.get("page", 100)), int(self.options.get("calls", 100)), int(self.options.get("limit", 10_000))
         seen = 0
-        for call in range(calls):
-            params = {"q": self.options["query"], "ql": "cosmas2", "count": page, "offset": call * page, "fields": "@all", "context": "sentence"}
+        for _ in range(calls):
+            params = {"q": self.options["query"], "ql": "cosmas2", "count": page, "offset": seen, "fields": "@all", "context": "sentence", "show-snippet": "true"}
             if self.options.get("cq"):
                 params["cq"] = self.options["cq"]
             request = urllib.request.Request(f"{self.options['url']}?{urllib.parse.urlencode(params)}")
@@ -174,8 +193,8 @@ class RestReader(DataSourceReader):
             try:
                 with urllib.request.urlopen(request, timeout=float(self.options.get("timeout", 30))) as answer:
                     got = json.loads(answer.read())
-            except (OSError, ValueError):
-                return
+            except (OSError, ValueError) as e:
+                return failed(self.options, partition.collection, e)
             for match in got.get("matches", []):
                 yield match_row(partition.collection, match)
                 seen += 1
@@ -198,7 +217,15 @@ class RestCorpus(DataSource):
         return RestReader(self.options)
 
 
-def catalog(url: str, timeout: float = 30) -> list[dict]:
-    """Collections that a catalog service lists (JSON)."""
-    with urllib.request.urlopen(url, timeout=timeout) as answer:
+def catalog(url: str, timeout: float = 30, user: str | None = None, password: str | None = None) -> list[dict]:
+    """Collections that a catalog service lists (JSON), by basic authentication where a user is given."""
+    request = urllib.request.Request(url)
+    if user:
+        request.add_header("Authorization", "Basic " + base64.b64encode(f"{user}:{password or ''}".encode()).decode())
+    with urllib.request.urlopen(request, timeout=timeout) as answer:
         return json.loads(answer.read())
+
+
+def endpoints(entries: list[dict]) -> dict[str, str]:
+    """Collection to host:port, as the socket source's option endpoints takes it in JSON."""
+    return {e["corpus"]: f"{e['host']}:{int(e['port'])}" for e in entries}

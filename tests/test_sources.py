@@ -67,10 +67,10 @@ def test_conllu_files(spark, tmp_path):
 def test_remote_rows():
     assert remote.parse_snippet("a <mark>b c</mark> d &amp; e") == ("a b c d & e", [(2, 5)])
     row = remote.match_row("k", {"textSigle": "A/B", "pubDate": "2001-02-03", "snippet": "x <mark>yy</mark>.", "title": "T?", "author": "Z"})
-    assert row[1] == "urn:korap:k:A/B" and row[13] == [2] and row[2] == "Z: T? 2001-02-03"
+    assert row[1] == "urn:korap:k/A/B" and row[13] == [2] and row[2] == "Z: T? 03.02.2001"
     hit = {"meta_": {"indices_": ["w", "l", "p", "ws"], "collection": "c", "basename": "n", "date_": "1999"}, "ctx_": [[], [[1, "Ein", "ein", "ART", "1"], [0, "Tag", "Tag", "NN", "1"]], []]}
     row = remote.hit_row(hit)
-    assert row[1] == "urn:ddc:c:n" and row[3] is None and row[4] == 1999 and row[12] == [True, False] and row[13] == [1]
+    assert row[1] == "urn:ddc:c/n" and row[3] is None and row[4] == 1999 and row[12] == [True, False] and row[13] == [1]
     assert remote.socket_query_words(["o'x"]) == "('o\\'x' || '@o\\'x')" and remote.rest_query_words(["a b"]) == "(&ab or ab)"
 
 
