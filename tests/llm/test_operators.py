@@ -477,7 +477,8 @@ def test_forward_backward():
     assert np.allclose(pairs, want_pairs)
 
 
-def test_linked_vectors(spark):
+@pytest.mark.parametrize("block", [projections.BLOCK, 16])
+def test_linked_vectors(spark, block):
     r = np.random.default_rng(2)
     base = r.normal(size=(40, 16))
     rows = []
@@ -501,7 +502,7 @@ def test_linked_vectors(spark):
             todo += new
         c = min(rows[i][0] for i in seen)
         want.append((rows[k][0], len(links[k]), c, rows[k][0] == c))
-    got = [tuple(r) for r in projections.linked_vectors(frame, 0.98).select("vec_id", "n_links", "component_id", "kept").collect()]
+    got = [tuple(r) for r in projections.linked_vectors(frame, 0.98, block=block).select("vec_id", "n_links", "component_id", "kept").collect()]
     assert sorted(got) == sorted(want) and any(n > 2 for _, n, _, _ in want)
     assert projections.linked_vectors(frame.limit(0)).count() == 0
 
