@@ -1,6 +1,7 @@
 """The operators against brute force on small tables with nulls, empty and long texts, ties, repeated rows and odd columns."""
 
 import base64
+import gzip
 import hashlib
 import random
 import re
@@ -309,6 +310,12 @@ def test_captures(spark):
         else:
             assert r["refers_to"] == first[h]
     assert sum(r["record_type"] == "response" for r in got) == len(first)
+    for r in got:  # a record is found by its offset and length alone, and an archive is one gzip file
+        data = open(r["archive"].removeprefix("file:"), "rb").read()
+        record = gzip.decompress(data[r["offset"] : r["offset"] + r["length"]])
+        assert record in gzip.decompress(data) and f"<urn:page:{r['page_id']}>".encode() in record
+        html = next(h or "" for i, _, h, _ in rows if i == r["page_id"])
+        assert record.endswith((html.encode() if r["record_type"] == "response" else b"") + b"\r\n\r\n")
     assert capture_index.captures(pages.limit(0), common.Scratch(spark, "warc").path("x")).count() == 0
 
 
