@@ -37,6 +37,8 @@ WINDOW, CUT = 2.5, 4.0
 MISS = 1e-6
 #: Vectors of a block, and the most projections that cut cells.
 BLOCK, CUTS = 2048, 4
+#: Queries, neighbours in order, that a task counts at a time.
+STEP = 64
 
 
 def count_needed(m: int = PROJECTIONS, window: float = WINDOW, miss: float = MISS) -> int:
@@ -116,24 +118,28 @@ def compared(units: DataFrame, cosine: float, needed: int, half: float, wide: fl
         ys = ys[np.argsort(p[ys, order], kind="stable")]
         sorted_, columns = p[ys, order], np.ascontiguousarray(p[ys].T)
         count, root, links = np.zeros(len(cls), np.int64), np.arange(len(cls)), []
-        first = np.searchsorted(sorted_, p[xs, order] - np.float32(wide), "left")
-        last = np.searchsorted(sorted_, p[xs, order] + np.float32(wide), "right")
-        for x, lo, hi in zip(xs, first, last, strict=True):
-            shared = np.zeros(hi - lo, np.int8)
+        xs = xs[np.argsort(p[xs, order], kind="stable")]
+        for start in range(0, len(xs), STEP):
+            some = xs[start : start + STEP]
+            lo = int(np.searchsorted(sorted_, p[some[0], order] - np.float32(wide), "left"))
+            hi = int(np.searchsorted(sorted_, p[some[-1], order] + np.float32(wide), "right"))
+            shared = np.zeros((len(some), hi - lo), np.int8)
             for k in range(p.shape[1]):
-                shared += np.abs(columns[k, lo:hi] - p[x, k]) <= half
-            at = ys[lo:hi][shared >= needed]
-            at = at[at > x] if side[x] == 2 else at
-            at = at[(v[at] @ v[x]) / (norm[at] * norm[x]) >= cosine]
-            if not len(at):
-                continue
-            count[x] += mult[at].sum()
-            count[at] += mult[x]
-            roots, where = np.unique(root[at], return_index=True)
-            for r, y in zip(roots, at[where], strict=True):
-                if r != root[x]:
-                    links.append((int(cls[x]), int(cls[y])))
-                    root[root == r] = root[x]
+                shared += np.abs(columns[k, lo:hi] - p[some, k, None]) <= half
+            hit = shared >= needed
+            for i in np.flatnonzero(hit.any(1)):
+                x, at = some[i], ys[lo:hi][hit[i]]
+                at = at[at > x] if side[x] == 2 else at
+                at = at[(v[at] @ v[x]) / (norm[at] * norm[x]) >= cosine]
+                if not len(at):
+                    continue
+                count[x] += mult[at].sum()
+                count[at] += mult[x]
+                roots, where = np.unique(root[at], return_index=True)
+                for r, y in zip(roots, at[where], strict=True):
+                    if r != root[x]:
+                        links.append((int(cls[x]), int(cls[y])))
+                        root[root == r] = root[x]
         some = np.flatnonzero(count)
         return pa.table({
             "a": pa.array([*cls[some].tolist(), *(x for x, _ in links)], pa.int64()),
@@ -178,7 +184,7 @@ def linked_vectors(vectors: DataFrame, cosine: float = 0.98, m: int = PROJECTION
     classes = scratch.keep(classes.select(F.col("row").alias("cls"), F.coalesce("mult", F.lit(1)).cast("long").alias("mult"), "label", "d", "v", "p"), "classes")
 
     most = classes.groupBy("label", "d").count().agg(F.max("count")).first()[0] or 0
-    cuts = min(CUTS, m - 1, ceil(log(max(1, most / block), 2))) if most > block else 0
+    cuts = min(CUTS, m - 1, ceil(log(most / block, 6))) if most > block else 0
     dealt, pairs = blocks(classes, cuts, wide, scratch)
     sides = F.explode(F.when(F.col("x") == F.col("y"), F.array(F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("side")
     sides = pairs.select("x", "y", sides).withColumns({"block": F.when(F.col("side") == 1, F.col("y")).otherwise(F.col("x"))})
