@@ -18,9 +18,11 @@ BROADCAST_ROWS = 2_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where unset (tests) one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where unset on one machine, one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         import tempfile
 
         found = f"file://{tempfile.gettempdir()}/lexispark-shared"

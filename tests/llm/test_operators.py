@@ -68,6 +68,21 @@ def test_shards(spark, docs, frame, empty):
     assert sharding.balanced_shards(none, 4, ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 3, 16])
+def test_shards_by_brute_force(spark, n):
+    """Rows in order; each belongs to the equal share of all bytes that its middle lies in."""
+    r = random.Random(n)
+    rows = [(i if i % 9 else None, r.choice([1, 2, 50, 3000])) for i in r.sample(range(200), 120)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, size long"), n, ["doc_id", "size"]).collect()
+    total, at, want, slots = sum(s for _, s in rows), 0, [], {}
+    for i, s in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
+        shard = min(n - 1, (2 * at + s) * n // (2 * total))
+        slots[shard] = slots.get(shard, -1) + 1
+        want.append((str(i), s, shard, slots[shard]))
+        at += s
+    assert sorted((str(x["doc_id"]), x["size"], x["shard"], x["slot"]) for x in got) == sorted(want)
+
+
 def brute_repeats(docs, length):
     data = [(t or "").encode() for t in docs]
     seen = {}
