@@ -20,15 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices
+from .common import Scratch, lean, slices
 
 #: Labelled rows of either kind that the field is fitted to: the bound of the training sample.
 TOXIC_ROWS, CLEAN_ROWS = 1500, 2000
 #: Hashed weights for each of: a token's own features, the word before it, the word after it.
 WEIGHTS = 1 << 18
 OWN = 8
-#: How much likelier in toxic documents a feature must be that marks its words as toxic.
-ODDS = 60
+#: Share of the toxic documents that a feature must be in (three at least) to mark its words as toxic.
+SUPPORT = 0.015
 #: Distinct tokens that a task remembers, about 300 bytes each, and bytes of texts that it scores together.
 WORDS, BATCH = 250_000, 2_000_000
 EDGE = re.compile(r"^\W+|\W+$")
@@ -178,7 +178,7 @@ class Model:
 
     @staticmethod
     def suspicious(table: np.ndarray, docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-        """Tokens with a feature in three toxic documents at least, ODDS times likelier there, and too often for chance.
+        """Tokens with a feature in SUPPORT of the toxic documents, 20 times likelier there, and too often for chance.
 
         Chance: the likelihood ratio of the feature's share of toxic documents against theirs among all must be larger
         than the number of features tried.
@@ -191,7 +191,7 @@ class Model:
         share, total = n[1] / n.sum(), counts.sum(0)
         q = np.clip(counts[1] / np.maximum(total, 1), 1e-9, 1 - 1e-9)
         gain = total * (q * np.log(q / share) + (1 - q) * np.log((1 - q) / (1 - share)))
-        bad = (odds > ODDS) & (counts[1] >= 3) & (gain > np.log(max(1, (total > 0).sum())))
+        bad = (odds > 20) & (counts[1] >= max(3, SUPPORT * n[1])) & (gain > np.log(max(1, (total > 0).sum())))
         bad[0] = False
         return bad[table].any(1)
 
@@ -247,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
         model = Model(n1 / (n0 + n1)).fit(texts, y, weights)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)])], names=["model"])
 
-    return pickle.loads(sample.mapInArrow(run, "model binary").first()["model"])
+    return pickle.loads(sample.mapInArrow(lean(run), "model binary").first()["model"])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -273,7 +273,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
