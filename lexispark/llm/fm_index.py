@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, lean, slices
 
 #: Words in an index, six bytes each; a longer document has one of its own.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 500_000
 #: Every so many text positions a suffix position is kept.
 SAMPLE = 16
 #: Distinct windows that are broadcast and searched at a time.

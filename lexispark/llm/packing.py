@@ -24,7 +24,7 @@ from .common import lean, slices
 #: Waiting pieces among which the heuristic chooses.
 WINDOW = 64
 #: UTF-8 bytes of texts that are tokenized together (more only for a longer text): the longer, the fewer words twice.
-BATCH = 16_000_000
+BATCH = 8_000_000
 #: Signs that may end a word, and letters without combining marks (and without the one whose lower case has such a
 #: mark): the pre-tokenizer cuts between the two, and nowhere within either's run.
 SIGNS = "-.,;:!?$%&*#|()"
