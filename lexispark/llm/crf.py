@@ -70,17 +70,19 @@ class Chains:
     def __init__(self, numbers: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> None:
         """numbers: tokens of all documents, one after the other; sizes: tokens of each."""
         n = self.n = len(numbers)
-        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        numbers = numbers.astype(np.int32)
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         stop = ends[numbers].copy() if n else np.zeros(0, bool)
         stop[np.cumsum(sizes)[sizes > 0] - 1] = True
         start = np.r_[True, stop[:-1]][:n]
-        at = np.flatnonzero(start)
-        lengths = np.diff(np.r_[at, n])
+        at = np.flatnonzero(start).astype(np.int32)
+        lengths = np.diff(np.append(at, np.int32(n)))
         order = np.argsort(-lengths, kind="stable")
         at, lengths = at[order], lengths[order]
         counts = [int(np.searchsorted(-lengths, -t, side="left")) for t in range(int(lengths.max(initial=0)))]
-        self.steps = [at[:c] + t for t, c in enumerate(counts)]
-        left, right = np.r_[0, numbers[:-1]][:n], np.r_[numbers[1:], 0][:n]
+        self.steps = [at[:c] + np.int32(t) for t, c in enumerate(counts)]
+        left, right = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        left[1:], right[:-1] = numbers[:-1], numbers[1:]
         self.numbers, self.left, self.right = numbers, left, right
         self.has_left, self.has_right = ~start, ~np.r_[start[1:], True][:n]
 
@@ -102,10 +104,11 @@ class Chains:
         m = r * q
         expected = np.zeros((2, 2))
         if pairs and len(self.steps) > 1:
-            at = np.concatenate(self.steps[1:])
-            y, before = x[at] * q[at], r[at - 1]
-            w = np.stack([np.full(len(at), a[0, 0]), a[0, 1] * y, before * a[1, 0], before * a[1, 1] * y])
-            expected = (w / w.sum(0)).sum(1).reshape(2, 2)
+            for lo in range(0, self.n, 100_000):  # tokens that have one before them in their chain
+                at = lo + np.flatnonzero(self.has_left[lo : lo + 100_000])
+                y, before = x[at] * q[at], r[at - 1]
+                w = np.stack([np.full(len(at), a[0, 0]), a[0, 1] * y, before * a[1, 0], before * a[1, 1] * y])
+                expected += (w / w.sum(0)).sum(1).reshape(2, 2)
         return m / (1 + m), expected
 
 
@@ -138,13 +141,14 @@ class Model:
         table = words.table[: len(words.place)]
         chains = Chains(numbers, words.ends, sizes)
         toxic_word = self.suspicious(table, docs, labels)
+        del docs
         y = (toxic_word[numbers] & (labels[chains.doc] == 1)).astype(float)
         if not y.any():
             return self
         seen = np.zeros((2, 2))
         if len(chains.steps) > 1:
-            at = np.concatenate(chains.steps[1:])
-            seen = np.bincount((y[at - 1] * 2 + y[at]).astype(int), minlength=4).reshape(2, 2)
+            at = np.flatnonzero(chains.has_left)
+            seen = np.bincount((y[at - 1] * 2 + y[at]).astype(np.int8), minlength=4).reshape(2, 2)
         flat, lefts, rights = table.ravel(), table[chains.left, 0], table[chains.right, 0]
         self.bias = -3.0
         grads: list = [0.0, 0.0, 0.0, 0.0, 0.0]
