@@ -13,10 +13,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 #: Up to so many row numbers are broadcast to pick rows before their texts move; more are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
+#: Bytes of an Arrow batch on its way to a Python worker, and Spark's bound where nobody has set one.
+BATCH_BYTES, SPARK_BATCH = 7_500_000, str(64 << 20)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -106,3 +109,16 @@ def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
                 trim(0)
 
     return task
+
+
+def mapped(df: DataFrame, run: Callable[[Batches], Batches], schema: str | T.StructType) -> DataFrame:
+    """df through run in Arrow batches of BATCH_BYTES, with lean() tasks.
+
+    The bound is a setting of the session, set here unless the session has one already: a batch lies whole in the
+    executor's direct memory and again in the worker's, for each core, and Spark's own bound is 64 MB. A longer row is
+    a batch of its own; nothing is cut.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch", SPARK_BATCH)) == int(SPARK_BATCH):
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(lean(run), schema)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Scratch, lean, slices
+from .common import BROADCAST_ROWS, Scratch, mapped, slices
 from .components import components
 
 K = 64
@@ -103,7 +103,7 @@ def signatures(docs: DataFrame, size: int, k: int) -> DataFrame:
             )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return rows.mapInArrow(lean(run), f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, k1 long, k2 long, sig array<int>")
+    return mapped(rows, run, f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, k1 long, k2 long, sig array<int>")
 
 
 def linked(inter: np.ndarray, a: int, b: np.ndarray, percent: int) -> np.ndarray:
@@ -288,5 +288,5 @@ def class_texts(docs: DataFrame, cand: DataFrame, size: int) -> DataFrame:
     if cand.count() <= BROADCAST_ROWS:
         ids = cand.select(F.col("doc_id").alias("id")).distinct()
         rows = rows.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    found = rows.join(cand, rows["doc_id"].eqNullSafe(cand["doc_id"])).select("cls", "text", "k1", "k2").mapInArrow(lean(run), "cls long, text string")
+    found = mapped(rows.join(cand, rows["doc_id"].eqNullSafe(cand["doc_id"])).select("cls", "text", "k1", "k2"), run, "cls long, text string")
     return found.dropDuplicates(["cls"])

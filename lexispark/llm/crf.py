@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, lean, slices
+from .common import Scratch, mapped, slices
 
 #: Labelled rows of either kind that the field is fitted to: the bound of the training sample.
 TOXIC_ROWS, CLEAN_ROWS = 1500, 2000
@@ -61,7 +61,7 @@ class Words:
                     self.ends = np.r_[self.ends, np.zeros_like(self.ends)]
                 self.table[n], self.ends[n] = features(t), t[-1] in ".!?"
             out = [get(t) for t in tokens]
-        return np.array(out, np.int64)
+        return np.array(out, np.int32)
 
 
 class Chains:
@@ -137,9 +137,10 @@ class Model:
         words = Words()
         docs = [words.numbers(t.split()) for t in texts]
         sizes = np.array([len(d) for d in docs])
-        numbers = np.concatenate([*docs, np.zeros(0, np.int64)])
-        table = words.table[: len(words.place)]
+        numbers = np.concatenate([*docs, np.zeros(0, np.int32)])
+        table = words.table[: len(words.place)].copy()
         chains = Chains(numbers, words.ends, sizes)
+        del words
         toxic_word = self.suspicious(table, docs, labels)
         del docs
         y = (toxic_word[numbers] & (labels[chains.doc] == 1)).astype(float)
@@ -251,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
         model = Model(n1 / (n0 + n1)).fit(texts, y, weights)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)])], names=["model"])
 
-    return pickle.loads(sample.mapInArrow(lean(run), "model binary").first()["model"])
+    return pickle.loads(mapped(sample, run, "model binary").first()["model"])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -277,7 +278,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))])
-    return docs.mapInArrow(lean(run), schema)
+    return mapped(docs, run, schema)
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, lean, slices
+from .common import Scratch, mapped, slices
 
 #: Words in an index, six bytes each; a longer document has one of its own.
 SHARD_WORDS = 500_000
@@ -229,8 +229,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, key: str =
                 )
 
         kind = docs.schema[key].dataType.simpleString()
-        part = docs.select(F.monotonically_increasing_id().alias("row"), key, F.col(text).alias("_text")).mapInArrow(
-            lean(run), f"row long, `{key}` {kind}, n_words long, spans array<struct<start: long, end: long>>, items array<string>"
+        part = mapped(
+            docs.select(F.monotonically_increasing_id().alias("row"), key, F.col(text).alias("_text")), run, f"row long, `{key}` {kind}, n_words long, spans array<struct<start: long, end: long>>, items array<string>"
         )
         found = part if found is None else found.unionByName(part)
         blocks += 1
@@ -291,7 +291,7 @@ def cut_by_block(docs: DataFrame, block: dict[tuple[bytes, ...], list[str]]) ->
             cols = [pa.array(texts, f.type) if i == at else c for i, (c, f) in enumerate(zip(b.columns, b.schema, strict=True))]
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names).filter(pa.array([not x for x in gone]))
 
-    return docs.mapInArrow(lean(run), docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
 def cut_in_rounds(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:

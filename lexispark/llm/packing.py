@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, slices
+from .common import mapped, slices
 
 #: Waiting pieces among which the heuristic chooses.
 WINDOW = 64
@@ -223,4 +223,4 @@ def pack(
         if packer.placed:
             yield batch()
 
-    return rows.mapInArrow(lean(run), schema)
+    return mapped(rows, run, schema)
