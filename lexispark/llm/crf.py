@@ -13,6 +13,7 @@ from __future__ import annotations
 import pickle
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 from zlib import crc32
 
 import numpy as np
@@ -27,6 +28,8 @@ TOXIC_ROWS, CLEAN_ROWS = 1500, 2000
 #: Hashed weights for each of: a token's own features, the word before it, the word after it.
 WEIGHTS = 1 << 18
 OWN = 8
+#: Tokens whose chains are laid out together while the field is fitted (more only for a longer document).
+FIT_TOKENS = 400_000
 #: Share of the toxic documents that a feature must be in (three at least) to mark its words as toxic.
 SUPPORT = 0.015
 #: Distinct tokens that a task remembers, about 300 bytes each, and bytes of texts that it scores together.
@@ -69,7 +72,8 @@ class Chains:
 
     def __init__(self, numbers: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> None:
         """numbers: tokens of all documents, one after the other; sizes: tokens of each."""
-        n = self.n = len(numbers)
+        n, self.docs = len(numbers), len(sizes)
+        self.n = n
         numbers = numbers.astype(np.int32)
         self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         stop = ends[numbers].copy() if n else np.zeros(0, bool)
@@ -136,41 +140,51 @@ class Model:
         """weights: how many documents of the whole a row of the sample stands for."""
         words = Words()
         docs = [words.numbers(t.split()) for t in texts]
-        sizes = np.array([len(d) for d in docs])
-        numbers = np.concatenate([*docs, np.zeros(0, np.int32)])
+        sizes = np.array([len(d) for d in docs], np.int64)
         table = words.table[: len(words.place)].copy()
-        chains = Chains(numbers, words.ends, sizes)
+        ends, toxic_word = words.ends, self.suspicious(table, docs, labels)
         del words
-        toxic_word = self.suspicious(table, docs, labels)
-        del docs
-        y = (toxic_word[numbers] & (labels[chains.doc] == 1)).astype(float)
-        if not y.any():
+        # Chains of whole documents, about FIT_TOKENS tokens at a time; those that are toxic are marked.
+        block = (np.cumsum(sizes) - sizes) // FIT_TOKENS
+        parts, seen = [], np.zeros((2, 2))
+        for lo, hi in pairwise(np.flatnonzero(np.r_[True, np.diff(block) > 0, True][: len(sizes)]).tolist() + [len(sizes)]):
+            numbers = np.concatenate([*docs[lo:hi], np.zeros(0, np.int32)])
+            docs[lo:hi] = [None] * (hi - lo)
+            c = Chains(numbers, ends, sizes[lo:hi])
+            y = toxic_word[numbers] & (labels[lo:hi][c.doc] == 1)
+            at = np.flatnonzero(c.has_left)
+            seen += np.bincount(y[at - 1] * np.int8(2) + y[at], minlength=4).reshape(2, 2)
+            parts.append((c, y))
+        if not any(y.any() for _, y in parts):
             return self
-        seen = np.zeros((2, 2))
-        if len(chains.steps) > 1:
-            at = np.flatnonzero(chains.has_left)
-            seen = np.bincount((y[at - 1] * 2 + y[at]).astype(np.int8), minlength=4).reshape(2, 2)
-        flat, lefts, rights = table.ravel(), table[chains.left, 0], table[chains.right, 0]
+        flat = table.ravel()
         self.bias = -3.0
         grads: list = [0.0, 0.0, 0.0, 0.0, 0.0]
         for _ in range(rounds):
-            m, expected = chains.marginals(chains.scores(*self.word_scores(table)), self.joint, pairs=True)
-            d = y - m
-            by_word = np.bincount(numbers, d, len(table))
+            by_word, total, expected = np.zeros(len(table)), 0.0, np.zeros((2, 2))
+            lefts, rights = np.zeros(WEIGHTS), np.zeros(WEIGHTS)
+            known = self.word_scores(table)
+            for c, y in parts:
+                m, pairs = c.marginals(c.scores(*known), self.joint, pairs=True)
+                d = y - m
+                by_word += np.bincount(c.numbers, d, len(table))
+                lefts += np.bincount(table[c.left, 0], d * c.has_left, WEIGHTS)
+                rights += np.bincount(table[c.right, 0], d * c.has_right, WEIGHTS)
+                expected, total = expected + pairs, total + d.sum()
             g = [
                 np.bincount(flat, np.repeat(by_word, OWN), WEIGHTS) - 1.0 * self.own,
-                np.bincount(lefts, d * chains.has_left, WEIGHTS) - 0.5 * self.left,
-                np.bincount(rights, d * chains.has_right, WEIGHTS) - 0.5 * self.right,
+                lefts - 0.5 * self.left,
+                rights - 0.5 * self.right,
                 seen - expected - 0.1 * self.joint,
-                d.sum(),
+                total,
             ]
             grads = [s + np.square(x) for s, x in zip(grads, g, strict=True)]
             g = [0.5 * x / (np.sqrt(s) + 1e-6) for s, x in zip(grads, g, strict=True)]
             g[0][0] = 0
             self.own, self.left, self.right = self.own + g[0], self.left + g[1], self.right + g[2]
             self.joint, self.bias = self.joint + g[3], self.bias + g[4]
-        m, _ = chains.marginals(chains.scores(*self.word_scores(table)), self.joint)
-        x = summary(m, chains.doc, len(texts))
+        known = self.word_scores(table)
+        x = np.concatenate([summary(c.marginals(c.scores(*known), self.joint)[0], c.doc, c.docs) for c, _ in parts])
         ridge, f = np.array([0.5, 0.5, 0.5, 0.01]), np.array([1.0, 1.0, 0.0, -2.0])
         for _ in range(60):  # Newton's method, with a light ridge
             p = 1 / (1 + np.exp(-np.clip(x @ f, -30, 30)))

@@ -183,7 +183,7 @@ class Packer:
 
 def pack(
     docs: DataFrame, tokenizer: str, tokens: int = 4096, segments: int = 1024, loss: int | None = None,
-    end_id: int = 2, prompt: str | None = None, key: str = "doc_id", window: int = WINDOW,
+    end_id: int = 2, prompt: str | None = None, key: str = "doc_id", window: int = WINDOW, batch_bytes: int = BATCH,
 ) -> DataFrame:
     """Pieces of all documents (key, text): each token lies in one piece; start counts from the document's start.
 
@@ -192,7 +192,8 @@ def pack(
     none); end_id ends each document and bears loss. ids holds a piece's ids as little-endian unsigned 32-bit numbers.
     sequence_id has the task's number above bit 33. Null and empty texts are the end id alone; repeated rows are
     packed as often as they occur; the key may have any type and be null; other columns are ignored; an empty table
-    gives no pieces. A task holds the ids of about BATCH bytes of text, or of one longer text, and the waiting pieces.
+    gives no pieces. A task holds the ids of about batch_bytes of text, which do not
+    change the result, or of one longer text, and the waiting pieces.
     """
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     rows = docs.select(F.col(key).alias("key"), text("text").alias("text"), (text(prompt) if prompt else F.lit("")).alias("prompt"))
@@ -211,7 +212,7 @@ def pack(
             ids = pa.Array.from_buffers(pa.binary(), len(got), [None, pa.py_buffer(np.r_[0, np.cumsum(sizes * 4)].astype(np.int32)), pa.py_buffer(data)])
             return pa.RecordBatch.from_arrays([pa.array(doc, kind), *numbers, ids], names=[key, "start", "doc_tokens", "sequence_id", "offset", "loss_tokens", "ids"])
 
-        for b in slices(batches, BATCH, "text", "prompt"):
+        for b in slices(batches, batch_bytes, "text", "prompt"):
             kind = b.column("key").type
             ids, sizes = tok.ids(b.column("text"))
             lead, leads = tok.ids(b.column("prompt")) if prompt else (end[:0], np.zeros(len(b), np.int64))
