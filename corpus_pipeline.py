@@ -31,8 +31,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 4096 tokens."""
-    return piece_digests(packing.pack(docs, tokenizer_path()))
+    """Pieces of all documents in sequences of 4096 tokens; smaller batches than alone, since executors are full by now."""
+    return piece_digests(packing.pack(docs, tokenizer_path(), batch_bytes=4_000_000))
 
 
 STAGES = [
