@@ -236,7 +236,8 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {TOKS} SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, count(*) AS n FROM toks GROUP BY doc_id, sent_no HAVING count(*) <= 100")
 def short_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toks(spark, sf_dir).groupBy(*KEYS).agg(F.count("*").alias("n")).where(F.col("n") <= search.MAX_TOKENS)
+    rows = segment.segmented(docs(spark, sf_dir), "doc_id")
+    return search.short_enough(rows).select(*KEYS, F.size("tokens").cast("long").alias("n"))
 
 
 @query("SELECT page_id, regexp_matches(html, '</?[^>]+>') AS has_markup, len(regexp_extract_all(html, '</?[^>]+>')) AS n_tags FROM pages")

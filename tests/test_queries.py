@@ -5,10 +5,11 @@ import os
 import duckdb
 import pytest
 
-from lexispark.plans import corpus
+from lexispark.plans import columns, corpus
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["token_counts", "contains_all_words", "collocation_counts", "phrasal_verbs", "char_offsets", "manifest_changed", "chat_payloads", "language_id", "conllu_round_trip", "dates", "urns", "nearest_vectors"]
+NAMES = ["token_counts", "contains_all_words", "collocation_counts", "phrasal_verbs", "char_offsets", "manifest_changed", "chat_payloads", "language_id", "conllu_round_trip", "dates", "urns", "nearest_vectors", "short_sentences"]
+NAMES += [k for k, f in corpus.QUERIES.items() if f.__module__ == columns.__name__]
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
