@@ -149,7 +149,7 @@ RELATION_SQL = {
 
 def relation_sql(names: list[str]) -> str:
     rows = [
-        f"SELECT doc_id, sent_no, '{n}' AS rel, CAST({a} AS INTEGER) AS n1, CAST({b} AS INTEGER) AS n2, CAST({c} AS INTEGER) AS n3 FROM q WHERE {cond}"
+        f"SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, '{n}' AS rel, CAST({a} AS INTEGER) AS n1, CAST({b} AS INTEGER) AS n2, CAST({c} AS INTEGER) AS n3 FROM q WHERE {cond}"
         for n in names for cond, a, b, c in RELATION_SQL[n]
     ]
     return f"WITH {TREES} " + " UNION ALL ".join(rows)
