@@ -13,8 +13,9 @@ supported patterns. A value is found once it is at CONFIDENCE or above, with two
 known values; then it supports further patterns, such as another name that secrets are assigned to.
 
 Texts are never shuffled but those of documents with seeds or finds, where these are too many to broadcast their row
-numbers. Patterns of words that seeds stand in are counted over all documents first, and only those where seeds make up
-SHARE of all occurrences give edges, so no edge is made for a word after "of the".
+numbers. Patterns of words that seeds stand in are counted first, in the documents with seeds (their texts are written
+once) and what is left in all documents, and only those where seeds make up SHARE of all occurrences give edges, so no
+edge is made for a word after "of the". Over all documents a row is made for an occurrence of such a pattern alone.
 """
 
 from __future__ import annotations
@@ -129,9 +130,14 @@ def marked(text: Column, base: Column) -> Column:
     return F.when(F.size(base) > 0, done).otherwise(text)
 
 
-def in_context(rows: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
-    """(row, value, before, pattern) for each word of rows (row, text as marked() gives it): the word before it, the two
-    before it, the words on either side. Only for words after one of anchors (before), if these are given."""
+#: What a word's patterns of each shape are made of.
+SHAPES = {"L": ["before"], "LL": ["earlier", "before"], "LR": ["before", "after"]}
+
+
+def in_context(rows: DataFrame, slots: DataFrame | None = None, n: int = 0) -> DataFrame:
+    """(row, value, pattern) for each word of rows (row, text as marked() gives it): the word before it, the two before
+    it, the words on either side. Only those among slots (pattern; n distinct rows), if these are given: no row is made
+    for another pattern of a word, however common the words around it."""
     whole = F.concat(F.lit(" "), F.regexp_replace("text", r" (?<=[0-9)] )(?=[0-9(+])", JOIN), F.lit(" "))
     # A text and its lower case have their spaces at the same words; what is before the first word and after the last is empty.
     words = rows.select("row", F.split(whole, BETWEEN).alias("w"), F.split(F.lower(whole), BETWEEN).alias("l"))
@@ -141,10 +147,15 @@ def in_context(rows: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
         F.concat(F.array(F.lit("")), F.slice("l", F.lit(1), k - 1)).alias("earlier"), part("l", 1).alias("before"), part("w", 2).alias("value"), part("l", 3).alias("after")
     )
     z = words.where(k > 0).select("row", F.explode(zipped).alias("z")).select("row", "z.*")
-    if anchors is not None:
-        z = z.join(anchors, "before")
-    shapes = [F.concat(F.lit("L "), "before"), F.concat(F.lit("LL "), "earlier", F.lit(" "), "before"), F.concat(F.lit("LR "), "before", F.lit(" "), "after")]
-    return z.select("row", "value", "before", F.explode(F.array(*shapes)).alias("pattern"))
+    if slots is None:
+        return z.select("row", "value", F.explode(F.array(*[F.concat_ws(" ", F.lit(k), *parts) for k, parts in SHAPES.items()])).alias("pattern"))
+    # Words have no spaces, so a pattern's parts are what stands between its own.
+    at = F.split("pattern", " ")
+    for k, parts in SHAPES.items():
+        known = slots.where(at[0] == k).select(*[at[i + 1].alias(x) for i, x in enumerate(parts)], F.col("pattern").alias(k))
+        z = z.join(small(known, n), parts, "left")
+    z = z.where(F.coalesce(*SHAPES).isNotNull())
+    return z.select("row", "value", F.explode(F.array_compact(F.array(*SHAPES))).alias("pattern"))
 
 
 def assigned(text: Column) -> Column:
@@ -220,25 +231,29 @@ def personal_data(docs: DataFrame) -> DataFrame:
     based = small(scratch.keep(with_base, "with_base"), with_base.count())
     marks = docs.select("row", "text").join(based, "row", "left").select("row", marked(t, F.coalesce("base", F.array().cast(SPAN))).alias("text"))
     seeded = scratch.keep(with_base.select("row").unionByName(secret.select("row")).distinct(), "seeded")
-    stands = in_context(marks.join(small(seeded, seeded.count()), "row", "left_semi")).join(small(seeds.select("value"), seeds.count()), "value")
-    stands = stands.groupBy("before", "pattern", "value").agg(F.count("*").alias("times"))
-    stands = stands.groupBy("before", "pattern").agg(F.count("*").alias("support"), F.sum("times").alias("seeds"))
-    slots = scratch.keep(stands.where(F.col("support") >= SUPPORT).select("before", "pattern", "seeds"), "slots")
-
-    def standing(slots: DataFrame, n: int) -> DataFrame:
-        """in_context() of all documents for the patterns of slots."""
-        anchors = small(scratch.keep(slots.select("before").distinct(), "anchors"), n)
-        return in_context(marks, anchors).drop("before").join(small(slots.drop("before"), n), "pattern")
-
+    near = scratch.keep(marks.join(small(seeded, seeded.count()), "row", "left_semi"), "near")
+    stands = in_context(near).join(small(seeds.select("value"), seeds.count()), "value")
+    stands = stands.groupBy("pattern", "value").agg(F.count("*").alias("times"))
+    stands = stands.groupBy("pattern").agg(F.count("*").alias("support"), F.sum("times").alias("seeds"))
+    slots = scratch.keep(stands.where(F.col("support") >= SUPPORT).select("pattern", "seeds"), "slots")
+
+    def selective(slots: DataFrame, n: int, places: DataFrame) -> DataFrame:
+        """Those of slots where seeds make up SHARE of their places (pattern) at least."""
+        whole = places.join(small(slots, n), "pattern").groupBy("pattern", "seeds").agg(F.count("*").alias("times"))
+        return scratch.keep(whole.where(F.col("seeds") >= SHARE * F.col("times")).select("pattern", "seeds"), "selective")
+
+    # In the documents with seeds first: where seeds are too few of these places, they are too few of all.
     n = slots.count()
+    if n:
+        slots = selective(slots, n, in_context(near))
+        n = slots.count()
     edges = names.select(F.concat(F.lit("N "), "name").alias("pattern"), "value").unionByName(names.where("random").select(F.lit("F").alias("pattern"), "value"))
     placed = names.select("row", "value")
     if n:
-        whole = standing(slots, n).groupBy("pattern", "seeds").agg(F.count("*").alias("times")).where(F.col("seeds") >= SHARE * F.col("times"))
-        slots = scratch.keep(slots.join(whole.select("pattern"), "pattern", "left_semi"), "selective")
+        slots = selective(slots, n, in_context(marks, slots, n))
         n = slots.count()
     if n:
-        seen = scratch.keep(standing(slots, n).select("row", "pattern", "value").distinct(), "seen")
+        seen = scratch.keep(in_context(marks, slots, n).select("row", "pattern", "value").distinct(), "seen")
         edges, placed = edges.unionByName(seen.select("pattern", "value")), placed.unionByName(seen.select("row", "value"))
     found = bootstrap(edges.distinct(), seeds, scratch)
     hits = placed.join(small(found, found.count()), "value").unionByName(secret.select("value", "row", F.lit(SECRET).alias("kind")))

@@ -399,6 +399,39 @@ def test_discoveries_of_any_form(spark):
     assert not any(got[i] for i in range(24, 33)) and all(len(got[i]) == 1 for i in [*range(20), *range(33, 37)])
 
 
+def test_rows_of_slots_alone(spark, monkeypatch):
+    """Words after a common word make no rows for patterns that no seeds stand in; the rare slot with that word is read whole."""
+    r = random.Random(8)
+    common = lambda n: " ".join(f"{r.choice('abcdefgh')}{r.randrange(90)} the" for _ in range(n))
+    docs = [f"{common(60)} x{i} call the +49 30 55{i:05d} yes" for i in range(6)] + ["x call the 0305512345 yes"] + [common(300) for _ in range(5)] + ["one of the last"]
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    made, whole = [], pii_bootstrap.in_context
+
+    def counted(texts, *slots):
+        out = whole(texts, *slots)
+        if slots:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(pii_bootstrap, "in_context", counted)
+    got = {x["doc_id"]: [(s["value"], s["kind_no"]) for s in x["spans"]] for x in pii_bootstrap.personal_data(rows).collect()}
+    assert got[6] == [("0305512345", 3)] and all(len(got[i]) == 1 for i in range(6)) and not any(got[i] for i in range(7, 13))
+    # Seven places of LL call the, seven of LR the yes.
+    assert made and max(made) <= 14, made
+
+
+def test_rows_of_given_slots(spark):
+    """in_context() for slots is in_context() of all words, for these patterns; parts of patterns may be empty."""
+    texts = ["a the b the c", "the", "", "b  the a. (the x) the", "the the the", "to\ufdd1day the b"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    every = pii_bootstrap.in_context(rows).select("row", "value", "pattern").collect()
+    for some in ([], ["L the"], ["LL  the", "LR the ", "LL the the", "L a", "LR a b", "L none", "LL to\ufdd1day the"]):
+        slots = spark.createDataFrame([(x,) for x in some], "pattern string")
+        got = pii_bootstrap.in_context(rows, slots, len(some)).select("row", "value", "pattern").collect()
+        assert sorted(got) == sorted(x for x in every if x["pattern"] in some)
+        assert {x["pattern"] for x in got} == set(some) - {"L none"}
+
+
 def test_secrets(spark):
     """Long assigned strings and keys are seeds; the form they share discovers shorter ones, and their names what looks plain."""
     r = random.Random(12)
