@@ -88,3 +88,26 @@ def test_run_and_empty_tables(spark, tables, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{where}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_personal_data_makes_rows_of_its_patterns_alone(spark, tmp_path, monkeypatch):
+    """A slot with a common word before its values: no rows for the other words after that word, and the value is redacted."""
+    from lexispark.llm import pii_bootstrap
+
+    r = random.Random(9)
+    common = lambda n: " ".join(f"{r.choice('abcdefgh')}{r.randrange(90)} the" for _ in range(n))
+    texts = [f"{common(60)} x call the +49 30 55{i:05d} yes" for i in range(6)] + ["x call the 0305512345 yes", common(800), None]
+    spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents")
+    made, whole = [], pii_bootstrap.in_context
+
+    def counted(texts, *slots):
+        out = whole(texts, *slots)
+        if slots:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(pii_bootstrap, "in_context", counted)
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    got = {x["doc_id"]: x["text"] for x in corpus_pipeline.personal_data(spark, docs, str(tmp_path)).collect()}
+    assert got[6] == "x call the <phone> yes" and got[7] == texts[7] and got[8] is None and len(got) == 9
+    assert made and max(made) <= 14, made
