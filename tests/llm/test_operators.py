@@ -125,6 +125,27 @@ def test_repeated_bytes_edges(spark, empty):
         assert [(x["start"], x["end"]) for x in r["removed"]] == want[r["doc_id"]]
 
 
+def test_repeated_bytes_other_splits(spark, docs, frame, tmp_path, monkeypatch):
+    """Files are dealt to tasks in another way between two jobs, as they are when the number of cores changes."""
+    frame.repartitionByRange(5, "doc_id").write.parquet(f"{tmp_path}/docs")
+    want = brute_repeats([*docs, docs[3]], 40)
+    keep, conf = run_index.Scratch.keep, "spark.sql.files.maxPartitionBytes"
+
+    def moved(self, df, name="t"):
+        out = keep(self, df, name)
+        spark.conf.set(conf, "3k")
+        return out
+
+    monkeypatch.setattr(run_index.Scratch, "keep", moved)
+    try:
+        got = run_index.repeated_bytes(spark.read.parquet(f"{tmp_path}/docs"), 40).collect()
+    finally:
+        spark.conf.unset(conf)
+    assert len(got) == len(docs) + 1
+    for r in got:
+        assert [(x["start"], x["end"]) for x in r["removed"]] == want[r["doc_id"]], r["doc_id"]
+
+
 def test_matching_statistics():
     r = random.Random(5)
     t = bytes(r.choices(b"ab", k=300)) + b"abcabcabc" * 5
