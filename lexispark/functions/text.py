@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c evaluated once: expressions in lambdas are not shared, so each use would be evaluated anew."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 def norm_str(c: Column) -> Column:
     """Without white space at both ends; null where nothing is left."""
     return F.nullif(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), F.lit(""))

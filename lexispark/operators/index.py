@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import escape_stored, escape_token
+from ..functions.text import bound, escape_stored, escape_token
 
 GOOD = 0.5
+#: Tokens whose running sums are made in one go.
+BLOCK = 64
 
 
 def fields(sentences: DataFrame) -> DataFrame:
@@ -70,17 +72,49 @@ def collocation_postings(collocs: DataFrame, lemmas: DataFrame, *keys: str) -> D
     return rows.select(*keys, F.explode(F.array("n1", "n2")).alias("id"), "term").distinct()
 
 
+def _running(xs: Column) -> Column:
+    """0, then the running sums of an array of numbers; each step copies what is there."""
+    return F.aggregate(xs, F.array(F.lit(0)), lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x)))
+
+
+def starts(lengths: Column) -> Column:
+    """Sums of all lengths before each one; in blocks of about the root of their number, so long arrays are no square."""
+    size = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.size(lengths))).cast("int"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / size).cast("int")), lambda i: _running(F.slice(lengths, i * size + 1, size)))
+    totals = lambda bs: F.slice(_running(F.transform(bs, lambda b: F.element_at(b, -1))), F.lit(1), F.size(bs))
+    moved = lambda b, by: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda x: x + by)
+    return F.when(F.size(lengths) > BLOCK, F.flatten(bound(blocks, lambda bs: F.zip_with(bs, totals(bs), moved)))).otherwise(_running(lengths))
+
+
+def stream(tokens: Column) -> Column:
+    """Version, stored text, then each token with its place, and its terms at the same position.
+
+    tokens: array of (form, space, terms: sorted array) of one sentence, in its order.
+    """
+
+    def shown(first: Column) -> Column:
+        def one(t: Column, i: Column) -> Column:
+            start = F.get(first, i)
+            place = F.concat(F.lit(",s="), start, F.lit(",e="), start + F.length(t["form"]))
+            own = F.concat(escape_token(t["form"]), F.lit(",i=1"))
+            more = lambda at: F.array_join(F.concat(F.array(F.concat(own, at)), F.transform(t["terms"], lambda x: F.concat(escape_token(x), F.lit(",i=0"), at))), " ")
+            return bound(place, lambda at: F.when(F.size(t["terms"]) > 0, more(at)).otherwise(F.concat(own, at)))
+
+        return F.array_join(F.transform(tokens, one), " ")
+
+    text = F.rtrim(F.array_join(F.transform(tokens, lambda t: F.concat(t["form"], F.when(t["space"], " ").otherwise(""))), ""))
+    lengths = F.transform(tokens, lambda t: F.length(t["form"]) + t["space"].cast("int"))
+    return F.concat(F.lit("1 ="), escape_stored(text), F.lit("= "), bound(bound(lengths, starts), shown))
+
+
 def pre_analyzed(tokens: DataFrame, terms: DataFrame, *keys: str) -> DataFrame:
-    """(keys, text_pre): version, stored text, then each token with its place, and its terms at the same position."""
-    placed = offsets(tokens, *keys)
-    per = terms.groupBy(*keys, "id").agg(F.array_sort(F.collect_set("term")).alias("terms"))
-    rows = placed.join(per, [*keys, "id"], "left")
-    shown = F.concat(escape_token(F.col("form")), F.lit(",i=1,s="), F.col("start"), F.lit(",e="), F.col("end"))
-    more = F.transform(F.coalesce("terms", F.array().cast("array<string>")), lambda t: F.concat(escape_token(t), F.lit(",i=0,s="), F.col("start"), F.lit(",e="), F.col("end")))
-    one = F.struct("id", F.array_join(F.concat(F.array(shown), more), " ").alias("x"), F.concat("form", F.when(F.col("space"), " ").otherwise("")).alias("t"))
-    out = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("xs"))
-    text: Column = F.rtrim(F.array_join("xs.t", ""))
-    return out.select(*keys, F.concat(F.lit("1 ="), escape_stored(text), F.lit("= "), F.array_join("xs.x", " ")).alias("text_pre"))
+    """(keys, text_pre): stream() of tokens (keys, id, form, space) with terms (keys, id, term); both are dealt once, by keys."""
+    own = tokens.select(*keys, "id", "form", "space", F.lit(None).cast("string").alias("term"), F.lit(True).alias("own"))
+    other = terms.select(*keys, "id", F.lit(None).cast("string").alias("form"), F.lit(None).cast("boolean").alias("space"), "term", F.lit(None).cast("boolean").alias("own"))
+    first = lambda c: F.first(c, ignorenulls=True).alias(c)
+    rows = own.unionByName(other).repartition(*keys).groupBy(*keys, "id").agg(first("form"), first("space"), F.array_sort(F.collect_set("term")).alias("terms"), first("own"))
+    out = rows.where("own").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("id", "form", "space", "terms"))).alias("xs"))
+    return out.select(*keys, stream(F.col("xs")).alias("text_pre"))
 
 
 def add_command(records: DataFrame) -> DataFrame:

@@ -123,3 +123,36 @@ def test_segment_edges(spark):
     rows = spark.createDataFrame([(1, "A b. C!\n\nd"), (2, ""), (3, None), (4, "  ")], "doc_id int, text string")
     got = segment.sentences(rows, "doc_id").orderBy("doc_id", "sent_no").collect()
     assert [tuple(r) for r in got] == [(1, 1, "A b."), (1, 2, "C!"), (1, 3, "d")]
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tokens_evaluated_once(spark):
+    text = "A\tb.  c\u00a0d \u2014 e\n \n\t\n\U0001f600x"
+    rows = spark.createDataFrame([(1, text)], "k int, text string")
+    got = segment.tokens(segment.sentences(rows, "k"), "k")
+    assert _plan(got).count("regexp_extract_all(") == 1 and _plan(got).count("regexp_replace(") == 1
+    assert [(r["sent_no"], r["form"], r["space"]) for r in got.orderBy("sent_no", "id").collect()] == [
+        (1, "A", True), (1, "b", False), (1, ".", False), (2, "c", False), (2, "\u00a0", False), (2, "d", True), (2, "\u2014", True), (2, "e", False),
+        (3, "---", False), (4, "\U0001f600", False), (4, "x", False),
+    ]
+
+
+def test_streams_of_arrays(spark):
+    """Long and array form agree, also where running sums are made in blocks; the long form deals its rows once."""
+    rows = [("d", i, "w" * (i % 5 + 1), i % 3 > 0) for i in range(1, 301)]
+    t = spark.createDataFrame(rows, "key string, id int, form string, space boolean")
+    terms = t.where("id % 2 = 0").select("key", "id", F.explode(F.array(F.lit("b"), F.lit("a"), F.lit("b"))).alias("term"))
+    out = index.pre_analyzed(t, terms.unionByName(terms.withColumn("id", F.lit(999))), "key")
+    want, place = [], 0
+    for _, i, form, space in rows:
+        want += [f"{x},i={n},s={place},e={place + len(form)}" for n, x in [(1, form), *([(0, "a"), (0, "b")] if i % 2 == 0 else [])]]
+        place += len(form) + space
+    text = "".join(form + " " * space for _, _, form, space in rows).rstrip(" ")
+    assert out.first()["text_pre"] == f"1 ={text}= {' '.join(want)}"
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+    xs = t.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("id", "form", "space", F.when(F.col("id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>")).alias("terms")))).alias("xs"))
+    assert xs.select(index.stream(F.col("xs"))).first()[0] == out.first()["text_pre"]
