@@ -129,6 +129,19 @@ def _plan(frame):
     return frame._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_conllu_evaluates_once(spark):
+    """Lines and their fields are made once, whatever is read of them, and the source of blocks is not evaluated for a filter."""
+    block = "# a = 1\r\n# a = 2\r\n#b\r\n1\tx\t_\tNOUN\t_\tk=v|k=w|n|=\t0\t\t_\tA=\r\n\r\n1-2\ty\n2\t_\n"
+    rows = spark.createDataFrame([(1, block, 0), (2, "\n", 0), (3, None, 0), (4, "#", 0)], "k int, text string, pos int")
+    back = conllu.parse(rows.select("k", "pos", F.upper(F.lower("text")).alias("block")), "k")
+    assert _plan(back).count("upper(") == 1 and _plan(back).count("split(") <= 9
+    back = conllu.parse(rows.withColumnRenamed("text", "block"), "k").orderBy("k").collect()
+    assert [(r["k"], r["meta"], len(r["tokens"])) for r in back] == [(1, {"a": "2", "b": ""}, 2), (4, {"": ""}, 0)]
+    t = [x.asDict() for x in back[0]["tokens"]]
+    assert t[0] == {"id": 1, "form": "x", "lemma": None, "upos": "NOUN", "xpos": None, "feats": {"k": "w", "": ""}, "head": 0, "deprel": "", "deps": None, "misc": {"A": ""}}
+    assert t[1] == {"id": 2, "form": "_", **dict.fromkeys(("lemma", "upos", "xpos", "feats", "head", "deprel", "deps", "misc"))}
+
+
 def test_tokens_evaluated_once(spark):
     text = "A\tb.  c\u00a0d \u2014 e\n \n\t\n\U0001f600x"
     rows = spark.createDataFrame([(1, text)], "k int, text string")
