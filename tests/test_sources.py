@@ -169,3 +169,33 @@ def test_streams_of_arrays(spark):
     assert plan.count("Exchange") == 1 and "Window" not in plan
     xs = t.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("id", "form", "space", F.when(F.col("id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>")).alias("terms")))).alias("xs"))
     assert xs.select(index.stream(F.col("xs"))).first()[0] == out.first()["text_pre"]
+
+
+def test_kept_first(spark, monkeypatch):
+    """The same as by signatures in plain Python; sentences of equal words and those that share no bucket go through no round."""
+    import hashlib
+    import random
+
+    rng, rows = random.Random(5), []
+    words = [f"w{i}" for i in range(400)]
+    for i in range(300):
+        old = rng.choice(rows)[1] if rows and rng.random() < 0.7 else rng.sample(words, rng.choice([1, 3, 40, 120]))
+        rows.append((i, old if rng.random() < 0.4 else [*old[:-1], rng.choice(words)]))
+    rows += [(300, []), (301, None), (302, [f"x{i % 20000}" for i in range(40000)]), (303, [f"x{i}" for i in range(20000)])]
+    h = {w: int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for _, ws in rows for w in ws or []}
+    p = dedupe.PRIME
+    kept, seen, buckets = set(), set(), []
+    for i, ws in rows:
+        hs = {h[w] for w in ws or []}
+        sig = [min(((x * (48271 * (k + 1) % p) + 69621 * (k + 7) % p) % p for x in hs), default=p) for k in range(128)]
+        mine = {(b, *sig[25 * b : 25 * b + 25]) for b in range(5)}
+        buckets.append(mine)
+        if not mine & seen:
+            kept.add(i)
+            seen |= mine
+    asked, real = [], dedupe.greedy_keep
+    monkeypatch.setattr(dedupe, "greedy_keep", lambda banded, order: asked.append(banded.select(order).distinct().count()) or real(banded, order))
+    signed = dedupe.signed(spark.createDataFrame(rows, "ord int, lemmas array<string>"), "ord")
+    assert {r["ord"] for r in dedupe.kept_first(signed, "ord").collect()} == kept
+    firsts = [m for k, m in enumerate(buckets) if m not in buckets[:k]]
+    assert asked == [sum(any(m & n for n in firsts if n is not m) for m in firsts)] and 0 < asked[0] < len(firsts) < len(rows)
